@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runway.functions.measures import pct
 from runway.functions.scalars import blank_to_null
 
 # Rule thresholds (minutes; HHMM ceiling).
@@ -165,12 +166,11 @@ def metrics_from_counts(counts: DataFrame, keys=("year", "month"),
     )
     return m.select(
         *keys,
-        F.col("rows").cast("bigint").alias("rows"),
-        F.col("clean").cast("bigint").alias("clean"),
-        F.col("rejected").cast("bigint").alias("rejected"),
-        (F.col("clean_before_dedup") - F.col("clean")).cast("bigint").alias("dupes"),
-        F.round(F.lit(100.0) * F.col("rejected") / F.greatest(F.col("rows"), F.lit(1)), 2)
-        .cast("double").alias("rejection_pct"),
+        F.col("rows").cast("bigint").alias("total_rows"),
+        F.col("clean").cast("bigint").alias("clean_rows"),
+        F.col("rejected").cast("bigint").alias("rejected_rows"),
+        (F.col("clean_before_dedup") - F.col("clean")).cast("bigint").alias("dupes_removed"),
+        pct(F.col("rejected"), F.greatest(F.col("rows"), F.lit(1))).alias("rejection_pct"),
     )
 
 
