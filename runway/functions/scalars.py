@@ -68,7 +68,9 @@ def blank_to_null(c) -> Column:
 
 
 def first_of_month(year="year", month="month") -> Column:
-    return F.make_date(F.col(year), F.col(month), F.lit(1))
+    """DATE of the first of the month; NULL for a month outside 1..12 (no ANSI error)."""
+    m = F.col(month)
+    return F.when((m >= 1) & (m <= 12), F.make_date(F.col(year), m, F.lit(1)))
 
 
 def ym_string(month: Column) -> Column:

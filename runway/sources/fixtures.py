@@ -188,7 +188,7 @@ def attempt_log_from(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("user_id").alias("unit"),
         F.col("event_id").alias("seq"),
-        F.col("ts").cast("timestamp").alias("attempt_ts"),
+        F.col("ts").alias("attempt_ts"),
         F.when((F.col("event_type") == "signup") & (F.col("event_id") % 8 == 0), "success")
         .when((F.col("event_type") == "purchase") & (F.col("event_id") % 10 == 0), "CODE")
         .otherwise("SOURCE").alias("outcome"),
@@ -201,7 +201,7 @@ def attempt_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempt_log_sql() -> str:
     return (
-        "SELECT user_id AS unit, event_id AS seq, CAST(ts AS TIMESTAMP) AS attempt_ts,"
+        "SELECT user_id AS unit, event_id AS seq, ts AS attempt_ts,"
         " CASE WHEN event_type = 'signup' AND event_id % 8 = 0 THEN 'success'"
         " WHEN event_type = 'purchase' AND event_id % 10 = 0 THEN 'CODE' ELSE 'SOURCE' END AS outcome"
         " FROM events"
@@ -215,3 +215,63 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     from runway.operators import dq
 
     return _memo(spark, f"silver:{sf_dir}", lambda: dq.clean(dq.flag(flights(spark, sf_dir))))
+
+
+# -------------------------------------------------------------- run state
+
+# A unit is done when 5·n ≥ 4·median(n) (integer form of
+# n ≥ 0.8·median); attempt-log units map to (key, month) units as
+# key = 'C' || unit % 10, month = 1995-01 + unit div 10 months.
+DONE_NUM, DONE_DEN = 4, 5
+MARKER_EPOCH = "1995-01-01"
+
+
+def run_inputs(spark: SparkSession, sf_dir: str) -> dict:
+    """Inputs of the state operators, all derived from the driver tables.
+
+    * ``bounds``   (key, start, end): each airline's first manifest month and
+      the global last month (the upstream ceiling, a scalar subquery).
+    * ``done``     (key, month): units holding enough rows.
+    * ``markers``  (key, month, state): marker state of the attempt log.
+    * ``outcomes`` (key, month, outcome): a first run over the calendar —
+      done → success, CODE marker → failed, else missing.
+    * ``marks``    (key, watermark): the month before each key's first month.
+    """
+    from runway.operators import state as st
+
+    man = month_manifest(spark, sf_dir)
+    median = man.select(F.percentile_approx("n", F.lit(0.5))).scalar()
+    done = man.where(F.col("n") * DONE_DEN >= median * DONE_NUM).select("key", "month")
+    ceiling = man.select(F.max("month")).scalar()
+    bounds = man.groupBy("key").agg(F.min("month").alias("start")).withColumn("end", ceiling)
+    cal = st.month_calendar(bounds)
+    ms = st.marker_state(attempt_log(spark, sf_dir))
+    markers = ms.select(
+        F.concat(F.lit("C"), (F.col("unit") % 10).cast("string")).alias("key"),
+        F.add_months(F.lit(MARKER_EPOCH).cast("date"), F.floor(F.col("unit") / 10).cast("int")).alias("month"),
+        "state")
+    outcomes = (cal.join(done.withColumn("_done", F.lit(True)), ["key", "month"], "left")
+                .join(markers, ["key", "month"], "left")
+                .select("key", "month",
+                        F.when(F.col("_done"), st.SUCCESS).when(F.col("state") == st.CODE, st.FAILED)
+                        .otherwise(st.MISSING).alias("outcome")))
+    marks = bounds.select("key", F.add_months("start", -1).alias("watermark"))
+    return {"manifest": man, "done": done, "bounds": bounds, "ceiling": ceiling, "calendar": cal,
+            "marker_state": ms, "markers": markers, "outcomes": outcomes, "marks": marks}
+
+
+def landing_attempts_from(events: DataFrame) -> DataFrame:
+    """Landing attempts (unit, seq, http_status, error_kind, size_bytes) from ``events``.
+
+    Fixed values: the props key ``k`` picks the result — below 60 a 200,
+    60–69 → 404, 70–74 → 503, 75–79 → 403, 80–84 → 400, 85–89 a network
+    error, 90–94 a corrupt archive, 95–99 an unexpected error; the size is
+    ``value`` × 100 bytes.
+    """
+    k = F.get_json_object("props", "$.k").cast("int")
+    status = (F.when(k < 60, 200).when(k < 70, 404).when(k < 75, 503).when(k < 80, 403)
+              .when(k < 85, 400))
+    err = F.when((k >= 85) & (k < 90), "network").when((k >= 90) & (k < 95), "corrupt").when(k >= 95, "unexpected")
+    return events.select(F.col("user_id").alias("unit"), F.col("event_id").alias("seq"),
+                         status.alias("http_status"), err.alias("error_kind"),
+                         F.floor(F.col("value") * 100).cast("bigint").alias("size_bytes"))
