@@ -275,3 +275,27 @@ def landing_attempts_from(events: DataFrame) -> DataFrame:
     return events.select(F.col("user_id").alias("unit"), F.col("event_id").alias("seq"),
                          status.alias("http_status"), err.alias("error_kind"),
                          F.floor(F.col("value") * 100).cast("bigint").alias("size_bytes"))
+
+
+# ------------------------------------------------------------ raw layouts
+
+def bronze_root(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
+    """The raw flights written once per session as ``year=/month=`` partitions.
+
+    Lives in the session's checkpoint folder (the cluster's shared folder
+    when ``spark.checkpoint.dir`` is set); the scans read it back with
+    partition pruning.
+    """
+    import hashlib
+
+    from runway.plans.sinks import path_exists, write_partitioned
+    from runway.session import checkpoint_dir
+
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}:{sf_dir}".encode()).hexdigest()[:12]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/bronze-{tag}/flights_{fmt}"
+    k = (spark.sparkContext.applicationId, f"bronze:{sf_dir}:{fmt}")
+    if k not in _CACHE:
+        if not path_exists(spark, f"{root}/_SUCCESS"):
+            write_partitioned(flights(spark, sf_dir), root, ("year", "month"), fmt)
+        _CACHE[k] = root
+    return _CACHE[k]
