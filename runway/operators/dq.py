@@ -236,6 +236,13 @@ def rule_violations(df: DataFrame, rule: Rule, id_columns=ID_COLUMNS) -> DataFra
 
 
 def duplicate_groups(clean_rows: DataFrame, id_columns=ID_COLUMNS) -> DataFrame:
-    """DQ16 report: groups of exact duplicates with the number of copies removed."""
-    g = clean_rows.groupBy(*clean_rows.columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return g.select(*id_columns, (F.col("_n") - 1).cast("bigint").alias("copies_removed"))
+    """DQ16 report: groups of exact duplicates with the number of copies removed.
+
+    Grouped on one struct of all columns (same semantics as grouping by each
+    column: NULL fields group together, floats are normalised); one wide key
+    keeps the generated aggregate code small enough for the JIT.
+    """
+    g = (clean_rows.groupBy(F.struct(*clean_rows.columns).alias("_row"))
+         .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1))
+    return g.select(*[F.col(f"_row.{c}").alias(c) for c in id_columns],
+                    (F.col("_n") - 1).cast("bigint").alias("copies_removed"))

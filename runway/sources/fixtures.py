@@ -138,17 +138,35 @@ def _memo(spark: SparkSession, key: str, build):
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that scans as fewer partitions than the session's cores.
+
+    The driver's tables are single files with one row group, so their scan
+    is one task and every narrow step after it (derivation, rule flags, the
+    map side of the dedup) would run on one core. A large layout of many
+    files scans in parallel already and is returned unchanged (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(c) for c in df.columns[:1]])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw (Bronze) flights for ``sf_dir``; derived once per session and persisted.
+    """Raw (Bronze) flights for ``sf_dir``, read from the partitioned Parquet layout.
 
-    The persisted copy plays the role of the Bronze table; a lost executor
-    only recomputes its blocks from the one-stage lineage (scan + project).
+    The layout is written once per session (``bronze_root``) into the
+    checkpoint folder; every query then scans files: parallel reads,
+    partition pruning, column pruning, and a lineage that starts at the
+    files (a lost executor re-reads a split, nothing is recomputed).
     """
-    return _memo(spark, f"flights:{sf_dir}", lambda: derive_flights(table(spark, sf_dir, "lineitem")))
+    from runway.sources.scans import read_flights
+
+    return read_flights(spark, bronze_root(spark, sf_dir, "parquet"))
 
 
 # ---------------------------------------------------------------- manifest
@@ -211,10 +229,18 @@ def attempt_log_sql() -> str:
 # ------------------------------------------------------------------ silver
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, deduplicated flights (the Silver set) for ``sf_dir``; persisted once per session."""
+    """Clean, deduplicated flights (the Silver table), written once per session and read back."""
     from runway.operators import dq
+    from runway.plans.sinks import write_partitioned
+    from runway.sources.scans import read_flights
 
-    return _memo(spark, f"silver:{sf_dir}", lambda: dq.clean(dq.flag(flights(spark, sf_dir))))
+    root = _scratch(spark, sf_dir, "silver")
+    k = (spark.sparkContext.applicationId, f"silver:{sf_dir}")
+    if k not in _CACHE:
+        if not _exists(spark, f"{root}/_SUCCESS"):
+            write_partitioned(dq.clean(dq.flag(flights(spark, sf_dir))), root, ("year", "month"), "parquet")
+        _CACHE[k] = root
+    return read_flights(spark, _CACHE[k])
 
 
 # -------------------------------------------------------------- run state
@@ -279,23 +305,35 @@ def landing_attempts_from(events: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ raw layouts
 
+def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
+    import hashlib
+
+    from runway.session import checkpoint_dir
+
+    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}:{sf_dir}".encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/fixture-{tag}/{name}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from runway.plans.sinks import path_exists
+
+    return path_exists(spark, path)
+
+
 def bronze_root(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
     """The raw flights written once per session as ``year=/month=`` partitions.
 
     Lives in the session's checkpoint folder (the cluster's shared folder
-    when ``spark.checkpoint.dir`` is set); the scans read it back with
+    when ``spark.checkpoint.dir`` is set); scans read it back with
     partition pruning.
     """
-    import hashlib
+    from runway.plans.sinks import write_partitioned
 
-    from runway.plans.sinks import path_exists, write_partitioned
-    from runway.session import checkpoint_dir
-
-    tag = hashlib.sha1(f"{spark.sparkContext.applicationId}:{sf_dir}".encode()).hexdigest()[:12]
-    root = f"{checkpoint_dir(spark).rstrip('/')}/bronze-{tag}/flights_{fmt}"
+    root = _scratch(spark, sf_dir, f"bronze_{fmt}")
     k = (spark.sparkContext.applicationId, f"bronze:{sf_dir}:{fmt}")
     if k not in _CACHE:
-        if not path_exists(spark, f"{root}/_SUCCESS"):
-            write_partitioned(flights(spark, sf_dir), root, ("year", "month"), fmt)
+        if not _exists(spark, f"{root}/_SUCCESS"):
+            raw = derive_flights(spread(table(spark, sf_dir, "lineitem")))
+            write_partitioned(raw, root, ("year", "month"), fmt)
         _CACHE[k] = root
     return _CACHE[k]
