@@ -224,8 +224,8 @@ def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> Data
     wu = Window.partitionBy(*u).orderBy("seq")
     esc = (cand.withColumn("_ru", F.row_number().over(wu)).where(F.col("_ru") == MAX_SOURCE_RETRIES)
            .select(*u, F.col("attempt_ts").alias("_esc_ts")))
-    units = log.select(*u).distinct()
-    j = units.join(agg, u, "left").join(esc, u, "left")
+    # last_ok has one row per unit (all units), so it is the unit list too
+    j = last_ok.join(agg, u, "left").join(esc, u, "left")
     n_code = F.coalesce(F.col("_n_code"), F.lit(0))
     n_src = F.coalesce(F.col("_n_source"), F.lit(0))
     escalated = (n_code == 0) & (n_src >= MAX_SOURCE_RETRIES)
