@@ -70,3 +70,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def scale_conf(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+               max_split_bytes: int = 256 << 20) -> dict:
+    """Size shuffles and scan splits for an input of ``input_bytes``.
+
+    Initial shuffle partitions ≈ input / ``partition_bytes`` (at least twice
+    the cores), so the first stage after a shuffle never has partitions that
+    spill heavily; AQE then coalesces small ones to the advisory size and
+    splits skewed ones. Returns the applied settings.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-int(input_bytes) // int(partition_bytes)))
+    conf = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

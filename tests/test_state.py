@@ -166,3 +166,25 @@ def test_stale_years(spark):
                                      (2025, "latest_silver_month=2025-02")], "year int, body string")
     got = {r["year"]: r["stale"] for r in st.stale_years(frontier, markers).collect()}
     assert got == {2023: True, 2024: False, 2025: True}
+
+
+def test_gold_watermark_and_total_failure_guard(spark):
+    yo = spark.createDataFrame([("g", 2024, "success", D(2024, 12)), ("g", 2025, "skipped", D(2025, 3)),
+                                ("g", 2026, "failed", D(2026, 1))],
+                               "key string, year int, outcome string, latest_month date")
+    marks = marks_df(spark, [("g", D(2025, 1))])
+    assert st.gold_watermark(marks, yo).first()["new_watermark"] == D(2025, 3)
+    ok = months_df(spark, [("a", D(2025, 1), "success")])
+    st.raise_on_total_failure(st.run_status(ok))
+    bad = months_df(spark, [("a", D(2025, 1), "missing")])
+    with pytest.raises(RuntimeError):
+        st.raise_on_total_failure(st.run_status(bad))
+
+
+def test_scale_conf(spark):
+    from runway.session import scale_conf
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    conf = scale_conf(spark, 100 << 40)  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    spark.conf.set("spark.sql.shuffle.partitions", old)
