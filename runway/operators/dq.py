@@ -12,8 +12,10 @@ Operators (all lazy, DataFrame → DataFrame):
 * ``clean``       — rows with no reason, exact duplicates removed (DQ16).
 * ``rejected``    — rows with a reason (duplicates kept).
 * ``copy_counts`` — one row per distinct flagged row with ``copies``; the
-  single all-column aggregate from which clean set, rejected set and
-  metrics all derive, so the raw input is scanned and shuffled once.
+  single all-column aggregate from which the clean set and the metrics
+  derive (one shuffle). The rejected set is a narrow filter of the flagged
+  rows, so however many copies a rejected row has, they stay spread over
+  the input's tasks.
 * ``metrics``     — per key: rows, clean, rejected, dupes, rate.
 * ``breakdown``   — firings per rule (sum may exceed rejected rows).
 """
@@ -145,14 +147,6 @@ def clean_from_counts(counts: DataFrame, reason_col: str = "rejection_reason") -
     return counts.where(F.col(reason_col).isNull()).drop(reason_col, "copies")
 
 
-def rejected_from_counts(counts: DataFrame, reason_col: str = "rejection_reason") -> DataFrame:
-    """Rejected rows with their multiplicity restored (bag semantics)."""
-    rej = counts.where(F.col(reason_col).isNotNull())
-    cols = [c for c in counts.columns if c != "copies"]
-    return (rej.withColumn("_n", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-            .select(*cols))
-
-
 def metrics_from_counts(counts: DataFrame, keys=("year", "month"),
                         reason_col: str = "rejection_reason") -> DataFrame:
     """rows, clean, rejected, dupes and rejection rate per key, from ``copy_counts``."""

@@ -1,14 +1,17 @@
 """Silver run: raw flights → clean / rejected tables + metrics + rule breakdown.
 
-One scan of the raw input feeds everything. The all-column aggregate
-``copy_counts`` (map-side partial aggregation, one shuffle) is persisted
-and all outputs derive from it:
+The all-column aggregate ``copy_counts`` (map-side partial aggregation,
+one shuffle) is persisted and the clean set, metrics and breakdown derive
+from it:
 
 * clean set    = distinct rows without a reason (DQ16 dedup done)
-* rejected set = rows with a reason, multiplicity restored
 * metrics      = per (year, month): rows, clean, rejected, dupes, rate
 * breakdown    = firings per rule per (year, month)
 
+The rejected set is a narrow filter of the flagged raw rows (duplicates
+kept): no shuffle, and a row copied a billion times stays spread over the
+scan's tasks instead of being re-expanded from one aggregated row.
+
 All months of the input run in the same jobs; outputs are written by
 ``(year, month)`` partition with dynamic overwrite, so re-running a month
 replaces exactly that month. A month whose rejected set became empty has
@@ -46,10 +49,11 @@ def silver_frames(raw: DataFrame, rules=None, keys=KEYS, reliable: bool = False)
     ``reliable=True`` checkpoints the aggregate to the session's checkpoint
     folder (survives executor loss without recomputing the shuffle).
     """
-    counts = dq.copy_counts(dq.flag(raw, rules))
+    flagged = dq.flag(raw, rules)
+    counts = dq.copy_counts(flagged)
     counts = counts.checkpoint(eager=True) if reliable else counts.persist(StorageLevel.MEMORY_AND_DISK)
     clean = dq.clean_from_counts(counts)
-    rejected = dq.rejected_from_counts(counts)
+    rejected = dq.rejected(flagged)
     metrics = dq.metrics_from_counts(counts, keys)
     breakdown = dq.breakdown(counts, rules, keys=keys, weight=F.col("copies"))
     return counts, clean, rejected, metrics, breakdown
