@@ -152,3 +152,29 @@ def test_flags_match_python_rules(make_flights):
     got = [r["rejection_reason"] for r in dq.flag(df).collect()]
     want = [py_reason(r.asDict()) for r in df.collect()]
     assert got == want
+
+
+def test_marker_state_with_one_hot_unit(spark):
+    """A unit holding most of the log (5,000 attempts) is still exact: its island
+    is spread over the seq buckets and only 14 candidates per bucket are kept."""
+    base = dt.datetime(2024, 1, 1)
+    hot = ["SOURCE"] * 5000
+    hot[100] = "success"  # the island starts after seq 100
+    rows = [(0, i, base + dt.timedelta(seconds=i), o) for i, o in enumerate(hot)]
+    rows += [(1, i, base, "SOURCE") for i in range(3)]
+    log = spark.createDataFrame(rows, "unit bigint, seq bigint, attempt_ts timestamp, outcome string")
+    s = {r["unit"]: r for r in st.marker_state(log, buckets=16).collect()}
+    assert (s[0]["state"], s[0]["escalated"], s[0]["attempts"]) == ("CODE", True, MAX)
+    assert s[0]["first_seen"] == base + dt.timedelta(seconds=101)
+    assert s[0]["escalated_at"] == base + dt.timedelta(seconds=100 + MAX)
+    assert (s[1]["state"], s[1]["attempts"]) == ("SOURCE", 3)
+
+
+def test_hot_duplicate_group_stays_whole(make_flights):
+    """One clean row copied 3,000 times and one rejected row copied 2,000 times."""
+    rows = [{}] * 3000 + [{"month": 13}] * 2000 + [{"dayofmonth": 11}]
+    flagged = dq.flag(make_flights(rows).repartition(8))
+    assert dq.clean(flagged).count() == 2
+    assert dq.rejected(flagged).count() == 2000
+    m = {(r["month"]): r for r in dq.metrics(flagged).collect()}
+    assert m[5]["dupes_removed"] == 2999 and m[5]["clean_rows"] == 2 and m[13]["rejected_rows"] == 2000
