@@ -10,9 +10,10 @@ form kept as a tested equivalent:
   both totals by a window over the *aggregated* rows, instead of joining
   two aggregates of two scans (``cancellation_join_form``).
 * ``route_summary`` computes the per-carrier route count on rows
-  pre-aggregated by carrier, then joins the per-name-group maximum back
-  null-safely, instead of a window over raw rows where one hot route
-  would land in one task (``route_summary_window_form``).
+  pre-aggregated by carrier, then joins the per-name-group maximum back on
+  a struct key (NULL names match; both sides already partitioned by it),
+  instead of a window over raw rows where one hot route would land in one
+  task (``route_summary_window_form``).
 * ``airport_daily_ops`` emits the departure and arrival role of a flight
   with ``inline(array(struct, struct))``: one scan instead of a union of two.
 """
@@ -211,30 +212,33 @@ def carrier_route_counts(silver: DataFrame) -> DataFrame:
     return per.withColumn("carrier_flights", F.sum("n").over(w))
 
 
-def top_carrier_counts(silver: DataFrame) -> DataFrame:
-    """Per route name group: the largest ``carrier_flights`` among its carriers."""
-    return (carrier_route_counts(silver).groupBy(*ROUTE_NAME_KEYS)
-            .agg(F.max("carrier_flights").alias("top_carrier_flights")))
+def _route_key() -> Column:
+    """The route name group as one struct key: NULL names group (and join) as equal,
+    and both aggregates hash-partition on the same single key, so their join
+    reuses that partitioning instead of re-shuffling on eight null-safe keys."""
+    return F.struct(*ROUTE_NAME_KEYS).alias("rk")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner join on ``keys`` where NULL matches NULL (names can be NULL).
+def top_carrier_counts(silver: DataFrame) -> DataFrame:
+    """Per route name group (``rk``): the largest ``carrier_flights`` among its carriers.
 
-    ``<=>`` keys stay equi-join keys, so this is a hash/sort-merge join
-    (AQE may switch it to broadcast once the right side's size is known).
+    Carriers are counted per name group first (partial aggregation), the
+    route-wide carrier count is a window over those few rows, and the max is
+    taken per group — no window ever sees raw rows.
     """
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+    per = silver.groupBy(_route_key(), "reporting_airline").agg(_cnt().alias("n"))
+    w = Window.partitionBy(F.col("rk.year"), F.col("rk.month"), F.col("rk.origin"), F.col("rk.dest"),
+                           "reporting_airline")
+    return (per.withColumn("carrier_flights", F.sum("n").over(w))
+            .groupBy("rk").agg(F.max("carrier_flights").alias("top_carrier_flights")))
 
 
 def route_summary(silver: DataFrame) -> DataFrame:
     """GT-3: per (month, route with raw names), all carriers together."""
     aggs = _route_measures(True)
     aggs["num_carriers"] = F.count_distinct("reporting_airline")
-    g = silver.groupBy(*ROUTE_NAME_KEYS).agg(*_aliased(aggs))
-    g = _null_safe_join(g, top_carrier_counts(silver), ROUTE_NAME_KEYS)
+    g = silver.groupBy(_route_key()).agg(*_aliased(aggs)).join(top_carrier_counts(silver), "rk")
+    g = g.select("rk.*", *[c for c in g.columns if c != "rk"])
     return g.select(*_route_head(),
                     M.distance_group(F.col("_avg_distance_all")).alias("distance_group"),
                     *_route_tail(True),
@@ -259,8 +263,8 @@ def route_summary_window_form(silver: DataFrame) -> DataFrame:
 
 def top_carrier_share(silver: DataFrame) -> DataFrame:
     """AG-09: per route name group, top carrier's route count and its share."""
-    tot = silver.groupBy(*ROUTE_NAME_KEYS).agg(_cnt().alias("total_flights"))
-    j = _null_safe_join(tot, top_carrier_counts(silver), ROUTE_NAME_KEYS)
+    tot = silver.groupBy(_route_key()).agg(_cnt().alias("total_flights"))
+    j = tot.join(top_carrier_counts(silver), "rk").select("rk.*", "total_flights", "top_carrier_flights")
     return j.select(_int("year"), _int("month"), "origin", "origincityname", "originstatename",
                     "dest", "destcityname", "deststatename", "total_flights", "top_carrier_flights",
                     M.pct(F.col("top_carrier_flights"), F.col("total_flights")).alias("top_carrier_market_share"))
