@@ -139,8 +139,15 @@ def clean(flagged: DataFrame, reason_col: str = "rejection_reason") -> DataFrame
 
 
 def copy_counts(flagged: DataFrame) -> DataFrame:
-    """One row per distinct flagged row with ``copies`` = multiplicity."""
-    return flagged.groupBy(*flagged.columns).agg(F.count(F.lit(1)).alias("copies"))
+    """One row per distinct flagged row with ``copies`` = multiplicity.
+
+    Grouped on one struct of all columns (NULL fields group together, floats
+    are normalised — the same groups as grouping by each column); the single
+    wide key keeps the generated partial-aggregation code JIT-sized.
+    """
+    cols = flagged.columns
+    return (flagged.groupBy(F.struct(*cols).alias("_row")).agg(F.count(F.lit(1)).alias("copies"))
+            .select(*[F.col(f"_row.{c}").alias(c) for c in cols], "copies"))
 
 
 def clean_from_counts(counts: DataFrame, reason_col: str = "rejection_reason") -> DataFrame:
