@@ -173,3 +173,25 @@ def test_incremental_runs(spark, make_flights, tmp_dir):
     g2 = gold_increment(spark, silver, gold_root, control)
     assert g2["rebuilt"] == [] and g2["status"].first()["status"] == "SUCCESS"
     assert spark.read.parquet(os.path.join(gold_root, "airline_monthly_kpi")).count() == 4
+
+
+def test_incremental_code_guard(spark, make_flights, tmp_dir):
+    import datetime as dt
+
+    from runway.plans.incremental import ATTEMPTS_SCHEMA, silver_increment
+
+    bronze, silver, control = (os.path.join(tmp_dir, n) for n in ("bronze", "silver", "ctl"))
+    sinks.write_partitioned(make_flights([{"month": m} for m in (1, 2)]), bronze)
+    # an earlier run left a CODE failure on 2024-02
+    log = spark.createDataFrame([("silver", "flights", dt.date(2024, 2, 1), 1, dt.datetime(2024, 3, 1), "CODE")],
+                                ATTEMPTS_SCHEMA)
+    log.write.parquet(os.path.join(control, "attempts"))
+    r = silver_increment(spark, bronze, silver, control, baseline="2024-01")
+    out = {x["month"].month: x["outcome"] for x in r["outcomes"].collect()}
+    assert out == {1: "success", 2: "failed"}  # blocked, not attempted
+    assert r["marks"].first()["new_watermark"] == dt.date(2024, 1, 1)
+    assert r["status"].first()["status"] == "PARTIAL SUCCESS — GAPS PRESENT"
+    rep = silver_increment(spark, bronze, silver, control, baseline="2024-01", mode="reprocess",
+                           start="2024-02", end="2024-02")
+    assert {x["month"].month: x["outcome"] for x in rep["outcomes"].collect()} == {2: "success"}
+    assert rep["status"].first()["status"] == "REPROCESS COMPLETE"
