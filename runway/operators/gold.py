@@ -150,6 +150,13 @@ def delay_percentiles(silver: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- GT-2 / GT-3
 
+def _route_key() -> Column:
+    """The route name group as one struct key: NULL names group (and join) as equal,
+    and both aggregates hash-partition on the same single key, so their join
+    reuses that partitioning instead of re-shuffling on eight null-safe keys."""
+    return F.struct(*ROUTE_NAME_KEYS).alias("rk")
+
+
 def _route_measures(with_cancelled: bool) -> dict[str, Column]:
     nc = M.not_cancelled()
     op = M.operated()
@@ -198,7 +205,8 @@ def _route_tail(with_cancelled: bool) -> list[Column]:
 
 def route_monthly_kpi(silver: DataFrame) -> DataFrame:
     """GT-2: per (month, route with raw names, airline); names coalesced after grouping."""
-    g = silver.groupBy(*ROUTE_NAME_KEYS, "reporting_airline").agg(*_aliased(_route_measures(False)))
+    g = silver.groupBy(_route_key(), "reporting_airline").agg(*_aliased(_route_measures(False)))
+    g = g.select("rk.*", *[c for c in g.columns if c != "rk"])
     return g.select(*_route_head(), "reporting_airline",
                     M.distance_group(F.col("_avg_distance_all")).alias("distance_group"),
                     *_route_tail(False))
@@ -212,13 +220,6 @@ def carrier_route_counts(silver: DataFrame) -> DataFrame:
     return per.withColumn("carrier_flights", F.sum("n").over(w))
 
 
-def _route_key() -> Column:
-    """The route name group as one struct key: NULL names group (and join) as equal,
-    and both aggregates hash-partition on the same single key, so their join
-    reuses that partitioning instead of re-shuffling on eight null-safe keys."""
-    return F.struct(*ROUTE_NAME_KEYS).alias("rk")
-
-
 def top_carrier_counts(silver: DataFrame) -> DataFrame:
     """Per route name group (``rk``): the largest ``carrier_flights`` among its carriers.
 
@@ -324,12 +325,17 @@ AIRPORT_KEYS = ["year", "month", "dayofmonth", "flight_date", "day_of_week_name"
                 "airport", "airport_city", "airport_state", "direction"]
 
 
+def _airport_key() -> Column:
+    """The ten airport-day-direction keys as one struct key (same groups, NULLs equal)."""
+    return F.struct(*AIRPORT_KEYS).alias("ak")
+
+
 def airport_daily_ops(silver: DataFrame) -> DataFrame:
     """GT-4: per airport, day and direction."""
     nc = M.not_cancelled()
     op = M.operated()
     c = F.col
-    g = airport_roles(silver).groupBy(*AIRPORT_KEYS).agg(
+    g = airport_roles(silver).groupBy(_airport_key()).agg(
         _cnt().alias("total_flights"),
         M.count_when(op).alias("operated_flights"),
         M.count_when(M.is_cancelled()).alias("cancelled_flights"),
@@ -339,7 +345,8 @@ def airport_daily_ops(silver: DataFrame) -> DataFrame:
         F.count_distinct("reporting_airline").alias("num_carriers"),
         F.count_distinct("peer_airport").alias("num_connected_airports"),
     )
-    return g.select(*AIRPORT_KEYS, "total_flights", "operated_flights", "cancelled_flights",
+    return g.select(*[c(f"ak.{k}").alias(k) for k in AIRPORT_KEYS],
+                    "total_flights", "operated_flights", "cancelled_flights",
                     M.pct(c("_on_time"), c("operated_flights")).alias("on_time_pct"),
                     M.r2(c("_avg_delay")).alias("avg_delay_min"),
                     M.r2(c("_avg_taxi")).alias("avg_taxi_min"),
@@ -348,10 +355,11 @@ def airport_daily_ops(silver: DataFrame) -> DataFrame:
 
 def airport_connectivity(silver: DataFrame) -> DataFrame:
     """AG-07: distinct carriers and distinct connected airports per airport-day-direction."""
-    return airport_roles(silver).groupBy(*AIRPORT_KEYS).agg(
+    g = airport_roles(silver).groupBy(_airport_key()).agg(
         F.count_distinct("reporting_airline").alias("num_carriers"),
         F.count_distinct("peer_airport").alias("num_connected_airports"),
     )
+    return g.select(*[F.col(f"ak.{k}").alias(k) for k in AIRPORT_KEYS], "num_carriers", "num_connected_airports")
 
 
 # ---------------------------------------------------------------- GT-5
