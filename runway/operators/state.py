@@ -94,6 +94,31 @@ def work_window(marks: DataFrame, ceiling: Column, mode: str = INCREMENTAL,
     return month_calendar(b.drop("ceiling"), keys=keys)
 
 
+def year_window(spark, key: str, ceiling_year: int, mode: str = INCREMENTAL, baseline_year: int | None = None,
+                start_year: str | None = None, end_year: str | None = None) -> DataFrame:
+    """Gold's window by year: ``baseline … ceiling`` incrementally, or
+    ``start … end`` (end defaults to the ceiling) when reprocessing; years
+    must be ``YYYY``, start ≤ end, and end may not pass the ceiling."""
+    import re
+
+    if mode == REPROCESS:
+        if not start_year:
+            raise ValueError("reprocess requires start_year (YYYY)")
+        s, e = str(start_year).strip(), str(end_year).strip() if end_year else str(ceiling_year)
+        for label, v in (("start_year", s), ("end_year", e)):
+            if not re.match(r"^\d{4}$", v):
+                raise ValueError(f"{label} must be YYYY, got {v!r}")
+        if s > e:
+            raise ValueError(f"start_year {s} > end_year {e}")
+        if int(e) > int(ceiling_year):
+            raise ValueError(f"end_year {e} exceeds ceiling year {ceiling_year}")
+        lo, hi = int(s), int(e)
+    else:
+        lo, hi = int(baseline_year if baseline_year is not None else ceiling_year), int(ceiling_year)
+    b = spark.createDataFrame([(key, lo, hi)], "key string, start int, end int")
+    return year_calendar(b)
+
+
 def _ym_literal(ym: str, label: str) -> Column:
     import datetime as _dt
     try:

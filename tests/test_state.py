@@ -188,3 +188,13 @@ def test_scale_conf(spark):
     conf = scale_conf(spark, 100 << 40)  # 100 TiB
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_year_window(spark):
+    yrs = [r["year"] for r in st.year_window(spark, "g", 2025, baseline_year=2023).orderBy("year").collect()]
+    assert yrs == [2023, 2024, 2025]
+    rep = [r["year"] for r in st.year_window(spark, "g", 2025, st.REPROCESS, start_year="2024").collect()]
+    assert sorted(rep) == [2024, 2025]
+    for bad in (dict(start_year="24"), dict(start_year="2025", end_year="2024"), dict(start_year="2024", end_year="2026")):
+        with pytest.raises(ValueError):
+            st.year_window(spark, "g", 2025, st.REPROCESS, **bad)
