@@ -23,6 +23,10 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT methods above 8000 bytecodes; above this limit Spark
+    # falls back from whole-stage codegen to split per-operator code instead of
+    # running a huge generated method in the bytecode interpreter
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
