@@ -160,14 +160,22 @@ def leapfrog_watermark(marks: DataFrame, outcomes: DataFrame, keys=("key",),
                        month_col: str = "month") -> DataFrame:
     """New mark = max(old, max ``month_col`` with an ok outcome); never moves backwards.
 
-    Reprocess runs never move the mark.
+    One union and one aggregate per key (no join): the old mark and the ok
+    months meet in the same group. Keys come from ``marks``. Reprocess runs
+    never move the mark.
     """
-    best = (outcomes.where(F.col("outcome").isin(*OK_OUTCOMES))
-            .groupBy(*keys).agg(F.max(month_col).alias("_best")))
-    j = marks.join(best, list(keys), "left")
-    new = F.col(mark_col) if mode == REPROCESS else F.greatest(F.col(mark_col), F.col("_best"))
-    return j.select(*keys, F.col(mark_col).alias("old_watermark"),
-                    F.coalesce(new, F.col(mark_col)).alias("new_watermark"))
+    k = list(keys)
+    typ = marks.schema[mark_col].dataType
+    none = F.lit(None).cast(typ)
+    old = marks.select(*k, F.col(mark_col).alias("_old"), none.alias("_ok"), F.lit(True).alias("_has"))
+    ok = (outcomes.where(F.col("outcome").isin(*OK_OUTCOMES))
+          .select(*k, none.alias("_old"), F.col(month_col).cast(typ).alias("_ok"), F.lit(False).alias("_has")))
+    g = (old.unionByName(ok).groupBy(*k)
+         .agg(F.max("_old").alias("_old"), F.max("_ok").alias("_best"), F.max("_has").alias("_has"))
+         .where(F.col("_has")))
+    new = F.col("_old") if mode == REPROCESS else F.coalesce(F.greatest(F.col("_old"), F.col("_best")),
+                                                             F.col("_old"))
+    return g.select(*k, F.col("_old").alias("old_watermark"), new.alias("new_watermark"))
 
 
 def gold_watermark(marks: DataFrame, year_outcomes: DataFrame, keys=("key",),

@@ -53,3 +53,22 @@ def test_query_matches_oracle(spark, duck, name):
     drows, dcols = cur.fetchall(), [c[0] for c in cur.description]
     assert sorted(scols) == sorted(dcols)
     assert _rows(scols, srows) == _rows(dcols, drows)
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_pair_joins_or_python(spark, name):
+    """Scale audit of every registered query's physical plan."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    for op in FORBIDDEN:
+        assert op not in plan, f"{name}: {op} in plan"
+
+
+def test_gold_scans_prune_columns_and_push_filters(spark):
+    df = E.queries()["delay_cause_analysis"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(arrdelay)" in plan and "GreaterThan(arrdelay,15.0)" in plan
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "deptimeblk" not in scan and "origincityname" not in scan  # unused columns never read
