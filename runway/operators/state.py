@@ -193,20 +193,28 @@ def contiguous_watermark(marks: DataFrame, outcomes: DataFrame, keys=("key",),
                          mark_col: str = "watermark", mode: str = INCREMENTAL) -> DataFrame:
     """New mark = last month of the unbroken run of ok months right after the old mark.
 
-    Gaps and islands: among ok months after the mark, numbered in order,
-    the run starting at mark+1 is the set whose month index minus its
-    number equals the mark's index.
+    Gaps and islands without a join: each key's mark row and ok months share
+    one window partition (bounded by the key's calendar); among ok months
+    after the mark, numbered in order, the run starting at mark+1 is the set
+    whose month index minus its number equals the mark's index. A union with
+    the mark rows and one aggregate per key give (old, new).
     """
-    ok = (outcomes.where(F.col("outcome").isin(*OK_OUTCOMES)).select(*keys, "month")
-          .join(marks.select(*keys, F.col(mark_col).alias("_old")), list(keys), "inner")
-          .where(F.col("month") > F.col("_old")))
-    w = Window.partitionBy(*keys).orderBy("month")
-    run = (ok.withColumn("_grp", _month_index(F.col("month")) - F.row_number().over(w))
-           .where(F.col("_grp") == _month_index(F.col("_old")))
-           .groupBy(*keys).agg(F.max("month").alias("_run_end")))
-    j = marks.join(run, list(keys), "left")
-    new = F.col(mark_col) if mode == REPROCESS else F.coalesce(F.col("_run_end"), F.col(mark_col))
-    return j.select(*keys, F.col(mark_col).alias("old_watermark"), new.alias("new_watermark"))
+    k = list(keys)
+    typ = marks.schema[mark_col].dataType
+    none = F.lit(None).cast(typ)
+    rows = (marks.select(*k, F.col(mark_col).alias("month"), F.lit(True).alias("_m"))
+            .unionByName(outcomes.where(F.col("outcome").isin(*OK_OUTCOMES))
+                         .select(*k, F.col("month").cast(typ).alias("month"), F.lit(False).alias("_m"))))
+    rows = rows.withColumn("_old", F.max(F.when(F.col("_m"), F.col("month"))).over(Window.partitionBy(*k)))
+    after = rows.where(~F.col("_m") & (F.col("month") > F.col("_old")))
+    w = Window.partitionBy(*k).orderBy("month")
+    run = (after.withColumn("_grp", _month_index(F.col("month")) - F.row_number().over(w))
+           .where(F.col("_grp") == _month_index(F.col("_old"))))
+    both = (rows.where(F.col("_m")).select(*k, F.col("month").alias("_o"), none.alias("_e"))
+            .unionByName(run.select(*k, none.alias("_o"), F.col("month").alias("_e"))))
+    g = both.groupBy(*k).agg(F.max("_o").alias("_o"), F.max("_e").alias("_e"))
+    new = F.col("_o") if mode == REPROCESS else F.coalesce(F.col("_e"), F.col("_o"))
+    return g.select(*k, F.col("_o").alias("old_watermark"), new.alias("new_watermark"))
 
 
 # ---------------------------------------------------------------- ST-06
