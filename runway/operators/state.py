@@ -422,3 +422,14 @@ def run_report(outcomes: DataFrame, metrics: DataFrame, keys=("key",)) -> DataFr
     ok = F.col("outcome") == SUCCESS
     mcols = [c for c in metrics.columns if c not in on]
     return j.select(*on, "outcome", *[F.when(ok, F.col(c)).alias(c) for c in mcols])
+
+
+def report_breakdown(outcomes: DataFrame, breakdown: DataFrame, keys=("key",)) -> DataFrame:
+    """ST-12 detail lines: the rule breakdown (reason, cnt) under each unit that succeeded.
+
+    ``breakdown`` is ``dq.breakdown`` keyed by (keys…, month); the join is on
+    unit keys of two per-unit tables (no raw rows).
+    """
+    on = [*keys, "month"]
+    ok = outcomes.where(F.col("outcome") == SUCCESS).select(*on)
+    return ok.join(breakdown.select(*on, "reason", "cnt"), on, "inner")
