@@ -146,19 +146,31 @@ BUILDS_SCHEMA = "year int, latest_month date, built_at timestamp"
 
 
 def gold_increment(spark: SparkSession, silver_root: str, gold_root: str, control_root: str,
-                   key: str = "flights", mode: str = st.INCREMENTAL, years=None) -> dict:
+                   key: str = "flights", mode: str = st.INCREMENTAL, years=None,
+                   baseline_year: int | None = None, start_year: str | None = None,
+                   end_year: str | None = None) -> dict:
     """One Gold run: rebuild stale (or requested) years in one job, then the trend.
 
-    Builds are recorded in an append-only log (year, latest_month, built_at);
-    a year's marker is its latest build.
+    The year window is ``baseline … ceiling`` (ceiling = latest Silver year;
+    baseline defaults to the earliest) or, when reprocessing, the validated
+    ``start_year … end_year``, every year of which is rebuilt. Builds are
+    recorded in an append-only log (year, latest_month, built_at); a year's
+    marker is its latest build.
     """
     clean = read_flights(spark, f"{silver_root}/cleaned")
     frontier = st.frontier_by_year(clean)
+    lo, hi = frontier.agg(F.min("year"), F.max("year")).first()  # two scalars
+    if hi is None:
+        raise RuntimeError("no Silver data: nothing to build")
+    window = st.year_window(spark, key, hi, mode, baseline_year if baseline_year is not None else lo,
+                            start_year, end_year).select("year")
     builds = _read_or_empty(spark, f"{control_root}/gold_builds", BUILDS_SCHEMA)
     last = builds.groupBy("year").agg(F.max_by("latest_month", "built_at").alias("latest_month"))
     bodies = last.select("year", F.concat(F.lit("latest_silver_month="), S.ym_string(F.col("latest_month")))
                          .alias("body"))
-    stale = st.stale_years(frontier, bodies)
+    stale = st.stale_years(frontier, bodies).join(window, "year", "left_semi")
+    if mode == st.REPROCESS:
+        stale = stale.withColumn("stale", F.lit(True))
     if years is not None:
         wanted = F.col("year").isin(list(years))
         stale = stale.withColumn("stale", wanted if mode == st.REPROCESS else (F.col("stale") | wanted))

@@ -195,3 +195,17 @@ def test_incremental_code_guard(spark, make_flights, tmp_dir):
                            start="2024-02", end="2024-02")
     assert {x["month"].month: x["outcome"] for x in rep["outcomes"].collect()} == {2: "success"}
     assert rep["status"].first()["status"] == "REPROCESS COMPLETE"
+
+
+def test_gold_year_window(spark, make_flights, tmp_dir):
+    from runway.plans.incremental import gold_increment, silver_increment
+
+    bronze, silver, gold_root, control = (os.path.join(tmp_dir, n) for n in ("bronze", "silver", "gold", "ctl"))
+    sinks.write_partitioned(make_flights([{"year": 2023, "month": 12}, {"year": 2024, "month": 1}]), bronze)
+    silver_increment(spark, bronze, silver, control, baseline="2023-12")
+    g1 = gold_increment(spark, silver, gold_root, control, baseline_year=2024)
+    assert g1["rebuilt"] == [2024]  # 2023 lies before the window
+    g2 = gold_increment(spark, silver, gold_root, control, mode="reprocess", start_year="2023", end_year="2023")
+    assert g2["rebuilt"] == [2023] and g2["status"].first()["status"] == "REPROCESS COMPLETE"
+    with pytest.raises(ValueError):
+        gold_increment(spark, silver, gold_root, control, mode="reprocess", start_year="2025")
