@@ -7,12 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import bpe, packing
+from runway.llm import bpe, cascade, langid, packing, quality, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -21,9 +30,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_bpe_codec, op9_packing)}
+    return {f.__name__: f for f in (op4_language_id, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_quality_rules": sql.OP6}
