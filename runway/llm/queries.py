@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import bpe, cascade, langid, packing, quality, sql
+from runway.llm import ann, bpe, cascade, langid, packing, quality, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
@@ -36,7 +40,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_language_id, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
