@@ -239,7 +239,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
     before = F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    ranked = cut.join(offsets, ["part", "length"]).select(
+    ranked = cut.join(offsets.hint("merge"), ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
 
     def assign(batches):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import ann, bpe, cascade, langid, packing, quality, sql
+from runway.llm import ann, bpe, cascade, langid, packing, pii, quality, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.judge(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
