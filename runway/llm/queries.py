@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import ann, bpe, cascade, langid, packing, pii, quality, sql
+from runway.llm import ann, bpe, cascade, chat, langid, packing, pii, quality, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -44,8 +48,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": sql.OP6}
+    return {"op6_quality_rules": sql.OP6, "op7_chat_rotation": sql.OP7}

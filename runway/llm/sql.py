@@ -34,3 +34,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * len(list_distinct(words)) < 8 * n_words) AS kept
 FROM base
 """
+
+OP7 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS content
+  FROM conversations),
+participants AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+views AS (
+  SELECT t.conv_id, perspective, speaker, content,
+         '<|im_start|>' || CASE WHEN speaker = 'system' THEN speaker WHEN speaker = perspective THEN 'assistant'
+           ELSE 'user name=' || regexp_replace(speaker, '\s+', '_', 'g') END || chr(10) AS header,
+         row_number() OVER w - 1 AS pos
+  FROM turns t JOIN participants p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+  WINDOW w AS (PARTITION BY t.conv_id, perspective ORDER BY turn NULLS FIRST, speaker, content)),
+segments AS (
+  SELECT *, header || content || '<|im_end|>' || chr(10) AS seg FROM views),
+placed AS (
+  SELECT *, coalesce(sum(length(seg)) OVER (PARTITION BY conv_id, perspective ORDER BY pos
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM segments)
+SELECT conv_id, perspective, (pos // 128)::INTEGER AS chunk, count(*)::BIGINT AS n_turns, min(start)::BIGINT AS start,
+       string_agg(seg, '' ORDER BY pos) AS text,
+       coalesce(string_agg(CASE WHEN speaker = perspective
+         THEN (start + length(header))::VARCHAR || '-' || (start + length(seg))::VARCHAR END, ',' ORDER BY pos), '') AS masks
+FROM placed GROUP BY conv_id, perspective, pos // 128
+"""
