@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import ann, bpe, cascade, chat, langid, packing, pii, quality, sql
+from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -48,8 +52,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": sql.OP6, "op7_chat_rotation": sql.OP7}
+    return {"op2_near_duplicates": sql.OP2, "op6_quality_rules": sql.OP6, "op7_chat_rotation": sql.OP7}
