@@ -7,12 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, sql
+from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, repeats, sql
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.groups(table(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_repeated_strings, op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
