@@ -235,12 +235,12 @@ def bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-def slices(texts: list[str]):
+def slices(texts: list[str | None]):
     """Runs of ``texts`` of about ``SLICE_BYTES`` each, at least one text a run."""
     run, size = [], 0
     for t in texts:
         run.append(t)
-        size += len(t)
+        size += len(t or "")
         if size >= SLICE_BYTES:
             yield run
             run, size = [], 0

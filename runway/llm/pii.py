@@ -245,13 +245,12 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     All other columns are handed through unchanged. A null or empty text stays
     as it is, with no entities; repeated rows get the same replacements; an
-    input column named n_entities is overwritten; other names cannot clash, as
-    the working columns start with an underscore and are checked for.
+    input column named n_entities is overwritten.
     """
-    work = {"_gaps", "_parsed", "_mentions", "_fix", "_digest"}
-    if clash := work.intersection(docs.columns):
-        raise ValueError(f"input columns with reserved names: {sorted(clash)}")
-    found = _found(docs.withColumn("text", F.col("text").cast("string")))
+    # the input's columns go through under numbers, so that no name of theirs can clash
+    rest = [c for c in docs.columns if c not in ("text", "n_entities")]
+    found = _found(docs.select(F.col("text").cast("string").alias("text"),
+                               *[F.col(f"`{c}`").alias(f"in{k}") for k, c in enumerate(rest)]))
     changed = stage(changed_attempts(found, key), "changed")
     none = F.lit(None).cast("map<string,int>")
     if changed.isEmpty():
@@ -283,5 +282,5 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     text = F.when(F.col("_parsed").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     count = F.coalesce(F.size("_parsed"), F.lit(0))
     count = F.when(F.col("_parsed").isNull(), 0).otherwise(count).cast("long")
-    rest = [F.col(c) for c in docs.columns if c not in ("text", "n_entities")]
-    return found.select(*rest, text.alias("text"), count.alias("n_entities"))
+    return found.select(*[F.col(f"in{k}") for k in range(len(rest))], text.alias("_text"), count.alias("_n")).toDF(
+        *rest, "text", "n_entities")

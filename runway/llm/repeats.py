@@ -79,9 +79,9 @@ def anchor_runs(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a row id: the doc_id where it is one, else a new number."""
-    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    twice = docs.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR _id IS NULL")
     if twice.isEmpty():
-        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+        return docs.withColumn("_row", F.col("_id"))
     return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
@@ -349,7 +349,10 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     rest = [c for c in docs.columns if c not in ("text", *added)]
-    rows = _keyed(docs.select(*rest, F.col("text").cast("string").alias("text")))
+    # the input's columns go through under numbers, so that no name of theirs can clash
+    handed = [f"in{k}" for k in range(len(rest))]
+    rows = _keyed(docs.select(*[F.col(f"`{c}`").alias(h) for c, h in zip(rest, handed)],
+                              F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")))
     judged = stage(_judge(_anchors(rows, length)), "judged")
     first = (F.shiftright("place", 24) - F.shiftright("place", 12).bitwiseAND(F.lit(0xFFF)))
     whole = judged.where(F.col("kind") == COVERED).select(
@@ -364,7 +367,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             _count(_contexts(rows, many, length), length))
     of_row = spans.groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))  # at most a text's runs
     both = rows.where("_row IS NOT NULL").join(of_row, F.col("_row") == F.col("row"), "left")
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {types[c]}" for c in rest]
                        + ["text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"])
 
@@ -392,4 +395,4 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(rest))] + [
                 pa.array(c, k) for c, k in zip(cols, kinds)], names=[*rest, "text", *added])
 
-    return both.select(*rest, "text", "_spans").mapInArrow(rewrite, schema)
+    return both.select(*handed, "text", "_spans").mapInArrow(rewrite, schema)
