@@ -106,7 +106,7 @@ DEDUP_RULE = ("DQ16", "DQ16: Exact duplicate", "Major")
 
 
 def rule_by_id(rule_id: str, rules=None) -> Rule:
-    for r in rules or default_rules():
+    for r in default_rules() if rules is None else rules:
         if r.id == rule_id:
             return r
     raise KeyError(rule_id)
@@ -114,7 +114,9 @@ def rule_by_id(rule_id: str, rules=None) -> Rule:
 
 def reason_column(rules=None) -> Column:
     """Fired messages joined in rule order; NULL when none fired."""
-    rules = rules or default_rules()
+    rules = default_rules() if rules is None else rules
+    if not rules:
+        return F.lit(None).cast("string")
     joined = F.concat_ws(REASON_SEP, *[F.when(r.predicate, F.lit(r.message)) for r in rules])
     return blank_to_null(joined)
 
@@ -189,12 +191,15 @@ def _firing_rows(df: DataFrame, rules, keys, weight: Column | None):
     w = weight if weight is not None else F.lit(1)
     aggs = [F.sum(F.when(r.predicate, w).otherwise(0)).cast("bigint").alias(f"_r{i}")
             for i, r in enumerate(rules)]
-    wide = df.groupBy(*keys).agg(*aggs)
-    # unpivot: one (rule_id, reason, severity, cnt) row per rule and key
-    entries = ", ".join(
-        f"'{r.id}', '{r.message}', '{r.severity}', `_r{i}`" for i, r in enumerate(rules))
-    return wide.selectExpr(*[f"`{k}`" for k in keys],
-                           f"stack({len(rules)}, {entries}) AS (rule_id, reason, severity, cnt)")
+    wide = df.groupBy(*keys).agg(*aggs) if aggs else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    # unpivot: one (rule_id, reason, severity, cnt) row per rule and key; texts are
+    # literals, never SQL, so a message may hold any character
+    entries = [F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.message).alias("reason"), F.lit(r.severity).alias("severity"),
+                        F.col(f"_r{i}").alias("cnt")) for i, r in enumerate(rules)]
+    if not entries:
+        none = "array<struct<rule_id:string,reason:string,severity:string,cnt:bigint>>"
+        return wide.select(*keys, F.inline(F.array().cast(none)))
+    return wide.select(*keys, F.inline(F.array(*entries)))
 
 
 def breakdown(df: DataFrame, rules=None, keys=(), weight: Column | None = None) -> DataFrame:
@@ -205,7 +210,7 @@ def breakdown(df: DataFrame, rules=None, keys=(), weight: Column | None = None)
     rows on which it fired, so the sum can exceed the rejected rows.
     ``weight`` counts each row that many times (for ``copy_counts`` input).
     """
-    rules = rules or default_rules()
+    rules = default_rules() if rules is None else rules
     out = _firing_rows(df, rules, keys, weight).where(F.col("cnt") > 0)
     return out.select(*keys, "reason", "cnt").orderBy(*keys, F.desc("cnt"), F.asc("reason"))
 
@@ -224,7 +229,7 @@ def breakdown_by_reason(flagged: DataFrame, reason_col: str = "rejection_reason"
 
 def severity_rollup(df: DataFrame, rules=None) -> DataFrame:
     """Firings per severity (rule severities are fixed values of the rule list)."""
-    rules = rules or default_rules()
+    rules = default_rules() if rules is None else rules
     fired = _firing_rows(df, rules, (), None)
     return (fired.groupBy("severity").agg(F.sum("cnt").cast("bigint").alias("cnt"))
             .where(F.col("cnt") > 0))

@@ -231,14 +231,14 @@ def top_carrier_counts(silver: DataFrame) -> DataFrame:
     w = Window.partitionBy(F.col("rk.year"), F.col("rk.month"), F.col("rk.origin"), F.col("rk.dest"),
                            "reporting_airline")
     return (per.withColumn("carrier_flights", F.sum("n").over(w))
-            .groupBy("rk").agg(F.max("carrier_flights").alias("top_carrier_flights")))
+            .groupBy("rk").agg(F.max("carrier_flights").alias("top_carrier_flights"),
+                               F.count("reporting_airline").alias("num_carriers"), F.sum("n").alias("total_flights")))
 
 
 def route_summary(silver: DataFrame) -> DataFrame:
     """GT-3: per (month, route with raw names), all carriers together."""
-    aggs = _route_measures(True)
-    aggs["num_carriers"] = F.count_distinct("reporting_airline")
-    g = silver.groupBy(_route_key()).agg(*_aliased(aggs)).join(top_carrier_counts(silver), "rk")
+    carriers = top_carrier_counts(silver).drop("total_flights")  # a row a carrier before, so its count is distinct
+    g = silver.groupBy(_route_key()).agg(*_aliased(_route_measures(True))).join(carriers, "rk")
     g = g.select("rk.*", *[c for c in g.columns if c != "rk"])
     return g.select(*_route_head(),
                     M.distance_group(F.col("_avg_distance_all")).alias("distance_group"),
@@ -264,8 +264,7 @@ def route_summary_window_form(silver: DataFrame) -> DataFrame:
 
 def top_carrier_share(silver: DataFrame) -> DataFrame:
     """AG-09: per route name group, top carrier's route count and its share."""
-    tot = silver.groupBy(_route_key()).agg(_cnt().alias("total_flights"))
-    j = tot.join(top_carrier_counts(silver), "rk").select("rk.*", "total_flights", "top_carrier_flights")
+    j = top_carrier_counts(silver).select("rk.*", "total_flights", "top_carrier_flights")
     return j.select(_int("year"), _int("month"), "origin", "origincityname", "originstatename",
                     "dest", "destcityname", "deststatename", "total_flights", "top_carrier_flights",
                     M.pct(F.col("top_carrier_flights"), F.col("total_flights")).alias("top_carrier_market_share"))
@@ -335,15 +334,28 @@ def airport_daily_ops(silver: DataFrame) -> DataFrame:
     nc = M.not_cancelled()
     op = M.operated()
     c = F.col
-    g = airport_roles(silver).groupBy(_airport_key()).agg(
-        _cnt().alias("total_flights"),
-        M.count_when(op).alias("operated_flights"),
-        M.count_when(M.is_cancelled()).alias("cancelled_flights"),
-        M.count_when(M.on_time("delay")).alias("_on_time"),
-        M.avg_when("delay", nc).alias("_avg_delay"),
-        M.avg_when("taxi", nc).alias("_avg_taxi"),
-        F.count_distinct("reporting_airline").alias("num_carriers"),
-        F.count_distinct("peer_airport").alias("num_connected_airports"),
+    def known(column):
+        return F.when(nc, F.col(column))
+
+    # sums and counts by (key, airline, peer) re-aggregate, so the two distinct
+    # counts are taken over these few rows and raw rows are read once
+    pairs = airport_roles(silver).groupBy(_airport_key(), "reporting_airline", "peer_airport").agg(
+        _cnt().alias("_n"),
+        M.count_when(op).alias("_op"),
+        M.count_when(M.is_cancelled()).alias("_canc"),
+        M.count_when(M.on_time("delay")).alias("_ot"),
+        F.sum(known("delay")).alias("_delay"), F.count(known("delay")).alias("_n_delay"),
+        F.sum(known("taxi")).alias("_taxi"), F.count(known("taxi")).alias("_n_taxi"),
+    )
+    g = pairs.groupBy("ak").agg(
+        F.sum("_n").alias("total_flights"),
+        F.sum("_op").alias("operated_flights"),
+        F.sum("_canc").alias("cancelled_flights"),
+        F.sum("_ot").alias("_on_time"),
+        (F.sum("_delay") / F.sum("_n_delay")).alias("_avg_delay"),
+        (F.sum("_taxi") / F.sum("_n_taxi")).alias("_avg_taxi"),
+        F.size(F.collect_set("reporting_airline")).cast("bigint").alias("num_carriers"),
+        F.size(F.collect_set("peer_airport")).cast("bigint").alias("num_connected_airports"),
     )
     return g.select(*[c(f"ak.{k}").alias(k) for k in AIRPORT_KEYS],
                     "total_flights", "operated_flights", "cancelled_flights",
@@ -355,10 +367,10 @@ def airport_daily_ops(silver: DataFrame) -> DataFrame:
 
 def airport_connectivity(silver: DataFrame) -> DataFrame:
     """AG-07: distinct carriers and distinct connected airports per airport-day-direction."""
-    g = airport_roles(silver).groupBy(_airport_key()).agg(
-        F.count_distinct("reporting_airline").alias("num_carriers"),
-        F.count_distinct("peer_airport").alias("num_connected_airports"),
-    )
+    # airlines and airports of one airport are bounded sets; raw rows collapse to pairs first
+    pairs = airport_roles(silver).select(_airport_key(), "reporting_airline", "peer_airport").distinct()
+    g = pairs.groupBy("ak").agg(F.size(F.collect_set("reporting_airline")).cast("bigint").alias("num_carriers"),
+                                F.size(F.collect_set("peer_airport")).cast("bigint").alias("num_connected_airports"))
     return g.select(*[F.col(f"ak.{k}").alias(k) for k in AIRPORT_KEYS], "num_carriers", "num_connected_airports")
 
 

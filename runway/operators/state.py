@@ -94,29 +94,25 @@ def work_window(marks: DataFrame, ceiling: Column, mode: str = INCREMENTAL,
     return month_calendar(b.drop("ceiling"), keys=keys)
 
 
-def year_window(spark, key: str, ceiling_year: int, mode: str = INCREMENTAL, baseline_year: int | None = None,
-                start_year: str | None = None, end_year: str | None = None) -> DataFrame:
-    """Gold's window by year: ``baseline … ceiling`` incrementally, or
-    ``start … end`` (end defaults to the ceiling) when reprocessing; years
-    must be ``YYYY``, start ≤ end, and end may not pass the ceiling."""
-    import re
+def year_window(marks: DataFrame, ceiling: Column, mode: str = INCREMENTAL, start: str | None = None,
+                end: str | None = None, keys=("key",), baseline_col: str = "baseline") -> DataFrame:
+    """Years to attempt per key: the month windows of ``work_window`` from one
+    January to the next, seen as years.
+
+    ``marks`` holds a first year per key (``baseline_col``, INT) and ``ceiling``
+    is the last year with input. Reprocess takes ``start`` … ``end`` (YYYY),
+    checked as ``work_window`` checks its bounds.
+    """
+    def january(year: Column) -> Column:
+        return F.make_date(year, F.lit(1), F.lit(1))
 
-    if mode == REPROCESS:
-        if not start_year:
-            raise ValueError("reprocess requires start_year (YYYY)")
-        s, e = str(start_year).strip(), str(end_year).strip() if end_year else str(ceiling_year)
-        for label, v in (("start_year", s), ("end_year", e)):
-            if not re.match(r"^\d{4}$", v):
-                raise ValueError(f"{label} must be YYYY, got {v!r}")
-        if s > e:
-            raise ValueError(f"start_year {s} > end_year {e}")
-        if int(e) > int(ceiling_year):
-            raise ValueError(f"end_year {e} exceeds ceiling year {ceiling_year}")
-        lo, hi = int(s), int(e)
-    else:
-        lo, hi = int(baseline_year if baseline_year is not None else ceiling_year), int(ceiling_year)
-    b = spark.createDataFrame([(key, lo, hi)], "key string, start int, end int")
-    return year_calendar(b)
+    for label, value in (("start", start), ("end", end)):
+        if value and not str(value).isdigit():
+            raise ValueError(f"{label} must be YYYY, got {value!r}")
+    months = work_window(
+        marks.withColumn("_mark", add_months(january(F.col(baseline_col)), -1)), january(ceiling), mode,
+        start and f"{start}-01", end and f"{end}-01", keys, "_mark", "gold")
+    return months.where(F.month("month") == 1).select(*keys, F.year("month").alias("year"))
 
 
 def _ym_literal(ym: str, label: str) -> Column:
@@ -202,9 +198,10 @@ def contiguous_watermark(marks: DataFrame, outcomes: DataFrame, keys=("key",),
     k = list(keys)
     typ = marks.schema[mark_col].dataType
     none = F.lit(None).cast(typ)
+    # a month that occurs more than once is ok when any of its outcomes is
     rows = (marks.select(*k, F.col(mark_col).alias("month"), F.lit(True).alias("_m"))
             .unionByName(outcomes.where(F.col("outcome").isin(*OK_OUTCOMES))
-                         .select(*k, F.col("month").cast(typ).alias("month"), F.lit(False).alias("_m"))))
+                         .select(*k, F.col("month").cast(typ).alias("month"), F.lit(False).alias("_m")).distinct()))
     rows = rows.withColumn("_old", F.max(F.when(F.col("_m"), F.col("month"))).over(Window.partitionBy(*k)))
     after = rows.where(~F.col("_m") & (F.col("month") > F.col("_old")))
     w = Window.partitionBy(*k).orderBy("month")
@@ -250,31 +247,35 @@ def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> Data
     ``attempts = n`` and ``first_seen`` = first failure, escalated to
     ``CODE`` at the 14th (``escalated_at`` = its time). No island → ``none``.
 
-    Skew: the per-unit work is two aggregates and a join; the 14th SOURCE
-    attempt is found per (unit, seq bucket) first, so a unit with a huge log
-    is spread over ``buckets`` window partitions of bounded output.
+    Skew: a unit's log is dealt over ``buckets`` by seq before the join with its
+    last ok attempt and reduced there to a count, a first failure and its first
+    14 SOURCE attempts; only these meet per unit.
     """
     u = list(unit_cols)
+    salt = F.pmod(F.col("seq"), F.lit(buckets)).cast("int")
     is_ok = F.col("outcome").isin(*OK_OUTCOMES)
     last_ok = log.groupBy(*u).agg(F.max(F.when(is_ok, F.col("seq"))).alias("_last_ok"))
-    island = (log.join(last_ok, u, "inner")
+    every = last_ok.select(*u, "_last_ok", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_salt"))
+    # dealt by (unit, bucket): partitioning by unit alone would also satisfy what follows
+    dealt = log.withColumn("_salt", salt).repartition(*u, "_salt")
+    island = (dealt.join(every, [*u, "_salt"], "inner")
               .where(F.col("_last_ok").isNull() | (F.col("seq") > F.col("_last_ok"))))
     src = F.col("outcome") == SOURCE
-    agg = island.groupBy(*u).agg(
-        F.count_if(F.col("outcome") == CODE).alias("_n_code"),
-        F.count_if(src).alias("_n_source"),
-        F.min_by(F.when(src, F.col("attempt_ts")), F.when(src, F.col("seq"))).alias("_first_src_ts"),
-        F.max("attempt_ts").alias("last_attempt_ts"),
-    )
-    # 14th SOURCE attempt: keep each bucket's first 14, then number the candidates
-    sources = island.where(src).select(*u, "seq", "attempt_ts")
-    wb = Window.partitionBy(*u, F.pmod(F.col("seq"), F.lit(buckets))).orderBy("seq")
-    cand = sources.withColumn("_rb", F.row_number().over(wb)).where(F.col("_rb") <= MAX_SOURCE_RETRIES)
-    wu = Window.partitionBy(*u).orderBy("seq")
-    esc = (cand.withColumn("_ru", F.row_number().over(wu)).where(F.col("_ru") == MAX_SOURCE_RETRIES)
-           .select(*u, F.col("attempt_ts").alias("_esc_ts")))
+    wb = Window.partitionBy(*u, "_salt").orderBy(F.desc(src), "seq")
+    # per bucket: its first 14 SOURCE attempts as a bounded list, the rest as counts
+    part = (island.withColumn("_rb", F.row_number().over(wb)).groupBy(*u, "_salt").agg(
+        F.count_if(F.col("outcome") == CODE).alias("_code"), F.count_if(src).alias("_source"),
+        F.max("attempt_ts").alias("_last"),
+        F.collect_list(F.when(src & (F.col("_rb") <= MAX_SOURCE_RETRIES), F.struct("seq", "attempt_ts"))).alias("_early")))
+    agg = part.groupBy(*u).agg(
+        F.sum("_code").alias("_n_code"), F.sum("_source").alias("_n_source"), F.max("_last").alias("last_attempt_ts"),
+        F.sort_array(F.flatten(F.collect_list("_early"))).alias("_early"))  # at most 14 a bucket
+    first = F.get(F.col("_early"), F.lit(0))
+    nth = F.get(F.col("_early"), F.lit(MAX_SOURCE_RETRIES - 1))
+    agg = agg.select(*u, "_n_code", "_n_source", "last_attempt_ts", first["attempt_ts"].alias("_first_src_ts"),
+                     nth["attempt_ts"].alias("_esc_ts"))
     # last_ok has one row per unit (all units), so it is the unit list too
-    j = last_ok.join(agg, u, "left").join(esc, u, "left")
+    j = last_ok.join(agg, u, "left")
     n_code = F.coalesce(F.col("_n_code"), F.lit(0))
     n_src = F.coalesce(F.col("_n_source"), F.lit(0))
     escalated = (n_code == 0) & (n_src >= MAX_SOURCE_RETRIES)
@@ -366,15 +367,16 @@ def run_status(outcomes: DataFrame, keys=("key",), mode: str = INCREMENTAL, laye
                marks: DataFrame | None = None) -> DataFrame:
     """Per key: counts per outcome, the status text and the total-failure flag.
 
-    ``marks`` (keys…, old_watermark, new_watermark) tells whether the mark
-    moved; without it the mark is taken as moved.
+    ``marks`` (keys…, old_watermark, new_watermark) lists the keys and tells
+    whether the mark moved; a key without outcomes gets the status of an empty
+    run. Without it the mark is taken as moved.
     """
     k = list(keys)
     counts = outcomes.groupBy(*k).agg(*[F.count_if(F.col("outcome") == o).cast("bigint").alias(o)
                                        for o in (SUCCESS, SKIPPED, MISSING, FAILED)])
     if marks is not None:
-        counts = counts.join(marks.select(*k, (~F.col("old_watermark").eqNullSafe(F.col("new_watermark")))
-                                          .alias("_moved")), k, "left")
+        counts = marks.select(*k, (~F.col("old_watermark").eqNullSafe(F.col("new_watermark"))).alias("_moved")).join(
+            counts, k, "left").fillna(0, [SUCCESS, SKIPPED, MISSING, FAILED])
     else:
         counts = counts.withColumn("_moved", F.lit(True))
     s, sk, mi, fa = (F.col(c) for c in (SUCCESS, SKIPPED, MISSING, FAILED))
@@ -405,12 +407,12 @@ def run_status(outcomes: DataFrame, keys=("key",), mode: str = INCREMENTAL, laye
 def raise_on_total_failure(status: DataFrame) -> None:
     """ST-13: fail the job when any key's run was a total failure.
 
-    Reads only the flagged keys of the (one row per key) status table.
+    The error says how many and names the first of them.
     """
-    bad = status.where(F.col("total_failure")).limit(20).collect()
-    if bad:
-        raise RuntimeError("TOTAL FAILURE — no unit succeeded for: "
-                           + ", ".join(str(r[0]) for r in bad))
+    bad = status.where(F.col("total_failure"))
+    row = bad.agg(F.count(F.lit(1)).alias("n"), F.min(F.col(status.columns[0]).cast("string")).alias("first")).first()
+    if row["n"]:
+        raise RuntimeError(f"TOTAL FAILURE — no unit succeeded for {row['n']} key(s), first: {row['first']}")
 
 
 # ---------------------------------------------------------------- ST-12

@@ -1,23 +1,21 @@
 """Gold run: Silver → the seven per-year tables, then the cross-year trend.
 
-The Silver input is read once (schema guard applied, persisted) and every
-table is one aggregate job over it, written by ``year`` partition with
-dynamic overwrite; a table is one readable path across years. The trend
-table is recomputed from the whole stored airline KPI table (all years)
-and written by ``year`` in a single partitioned write — no collect of
-years, no per-year loop.
+Every table is one aggregate job over its own pruned read of Silver (no cache
+of all columns), written by ``year`` partition; the years that are rebuilt are
+replaced exactly, so a year that yields no rows any more loses its partition.
+The trend table is recomputed from the whole stored airline KPI table and
+written by ``year`` in a single partitioned write — no per-year loop.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runway.operators import gold
-from runway.plans.sinks import write_partitioned
+from runway.plans.sinks import replace_units, stored_units
 from runway.sources.scans import read_table
-from runway.sources.schema import lower_case_columns, schema_guard
+from runway.sources.schema import FLIGHTS_SCHEMA, lower_case_columns, schema_guard
 
 
 def run_gold(spark: SparkSession, silver: DataFrame, out_root: str, years=None,
@@ -27,23 +25,20 @@ def run_gold(spark: SparkSession, silver: DataFrame, out_root: str, years=None,
     src = schema_guard(lower_case_columns(silver))
     if years is not None:
         src = src.where(F.col("year").isin(list(years)))
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
     paths = []
-    try:
-        for name, fn in tables.items():
-            path = f"{out_root.rstrip('/')}/{name}"
-            write_partitioned(fn(src), path, ("year",), fmt)
-            paths.append(path)
-    finally:
-        src.unpersist()
+    for name, fn in tables.items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        units = stored_units(spark, path, ("year",)) if years is None else [{"year": y} for y in years]
+        replace_units(fn(src), path, units, ("year",), fmt)
+        paths.append(path)
     return paths
 
 
 def recompute_trend(spark: SparkSession, out_root: str, fmt: str = "parquet") -> str:
     """GT-8 over every stored year of ``airline_monthly_kpi``; written by year."""
     root = out_root.rstrip("/")
-    kpi = read_table(spark, f"{root}/airline_monthly_kpi", fmt)
-    trend = gold.monthly_trend(kpi.withColumn("year", F.col("year").cast("int")))
+    kpi_types = gold.airline_monthly_kpi(spark.createDataFrame([], FLIGHTS_SCHEMA)).schema
+    kpi = read_table(spark, f"{root}/airline_monthly_kpi", fmt, kpi_types)
     path = f"{root}/monthly_trend"
-    write_partitioned(trend, path, ("year",), fmt)
+    replace_units(gold.monthly_trend(kpi), path, stored_units(spark, path, ("year",)), ("year",), fmt)
     return path

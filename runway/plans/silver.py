@@ -1,34 +1,30 @@
 """Silver run: raw flights → clean / rejected tables + metrics + rule breakdown.
 
-The all-column aggregate ``copy_counts`` (map-side partial aggregation,
-one shuffle) is persisted and the clean set, metrics and breakdown derive
-from it:
-
-* clean set    = distinct rows without a reason (DQ16 dedup done)
+* clean set    = rows without a reason, exact duplicates removed (DQ16)
+* rejected set = a narrow filter of the flagged rows (duplicates kept)
 * metrics      = per (year, month): rows, clean, rejected, dupes, rate
 * breakdown    = firings per rule per (year, month)
 
-The rejected set is a narrow filter of the flagged raw rows (duplicates
-kept): no shuffle, and a row copied a billion times stays spread over the
-scan's tasks instead of being re-expanded from one aggregated row.
-
-All months of the input run in the same jobs; outputs are written by
-``(year, month)`` partition with dynamic overwrite, so re-running a month
-replaces exactly that month. A month whose rejected set became empty has
-its stale rejected partition dropped. The metrics table (the manifest a
-gap scan reads) is written last, after the data commits.
+Nothing is cached: totals and rejections are one narrow partial aggregate of
+the flagged rows, and the clean counts come from the footers of the partitions
+just written. All months of the input run in the same jobs and replace exactly
+their own output: a month whose clean or rejected set became empty loses its
+old partition. The metrics table (the manifest a gap scan reads) is written
+last, after the data commits.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runway.functions.measures import pct
 from runway.operators import dq
-from runway.plans.sinks import drop_partitions, write_partitioned
+from runway.plans.sinks import path_exists, replace_units, write_partitioned
 
 KEYS = ("year", "month")
 
@@ -40,35 +36,43 @@ class SilverResult:
     metrics_path: str
     metrics: DataFrame
     breakdown: DataFrame
-    counts: DataFrame
+    units: list[dict]
 
 
-def silver_frames(raw: DataFrame, rules=None, keys=KEYS, reliable: bool = False):
-    """Lazy (counts, clean, rejected, metrics, breakdown) over one persisted aggregate.
-
-    ``reliable=True`` checkpoints the aggregate to the session's checkpoint
-    folder (survives executor loss without recomputing the shuffle).
-    """
-    flagged = dq.flag(raw, rules)
-    counts = dq.copy_counts(flagged)
-    counts = counts.checkpoint(eager=True) if reliable else counts.persist(StorageLevel.MEMORY_AND_DISK)
-    clean = dq.clean_from_counts(counts)
-    rejected = dq.rejected(flagged)
-    metrics = dq.metrics_from_counts(counts, keys)
-    breakdown = dq.breakdown(counts, rules, keys=keys, weight=F.col("copies"))
-    return counts, clean, rejected, metrics, breakdown
+def _of(rows: DataFrame, units: DataFrame, keys) -> DataFrame:
+    """Rows of the given units; a NULL year or month is a unit too."""
+    mine = units.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return rows.join(mine, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
 
 
 def run_silver(spark: SparkSession, raw: DataFrame, out_root: str, rules=None, keys=KEYS,
-               fmt: str = "parquet", reliable: bool = False) -> SilverResult:
+               fmt: str = "parquet") -> SilverResult:
     out_root = out_root.rstrip("/")
-    counts, clean, rejected, metrics, breakdown = silver_frames(raw, rules, keys, reliable)
     clean_path, rej_path, met_path = f"{out_root}/cleaned", f"{out_root}/rejected", f"{out_root}/_metrics"
-    write_partitioned(clean, clean_path, keys, fmt)
-    write_partitioned(rejected, rej_path, keys, fmt)
-    # months processed with no rejected rows: drop a stale rejected partition
-    empty = [dict(zip(keys, r)) for r in
-             metrics.where(F.col("rejected_rows") == 0).select(*keys).collect()]
-    drop_partitions(spark, rej_path, empty)
-    write_partitioned(metrics, met_path, keys, "parquet")
-    return SilverResult(clean_path, rej_path, met_path, metrics, breakdown, counts)
+    flagged = dq.flag(raw, rules)
+    bad = F.col("rejection_reason").isNotNull()
+    # one row a unit: the units, which are few, decide what is replaced
+    totals = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).collect()
+    units = [{k: r[k] for k in keys} for r in totals]
+    replace_units(dq.clean(flagged), clean_path, units, keys, fmt)
+    replace_units(dq.rejected(flagged), rej_path, units, keys, fmt)
+    schema = ", ".join([f"{k} {raw.schema[k].dataType.simpleString()}" for k in keys] + ["rows bigint", "rejected bigint"])
+    per = spark.createDataFrame([tuple(r) for r in totals], schema)
+    if units and path_exists(spark, clean_path):
+        stored = spark.read.format(fmt).option("header", True).load(clean_path)
+        stored = stored.select(*[F.col(k).cast(raw.schema[k].dataType).alias(k) for k in keys])
+        clean = _of(stored, per, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("clean"))
+    else:
+        clean = per.select(*keys, F.lit(0).cast("bigint").alias("clean")).where("false")
+    n, rejected, kept = F.col("rows"), F.col("rejected"), F.coalesce(F.col("clean"), F.lit(0))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    metrics = per.alias("p").join(clean.alias("c"), reduce(and_, same), "left").select(
+        *[F.col(f"p.{k}") for k in keys], n.alias("total_rows"), kept.cast("bigint").alias("clean_rows"), rejected.alias("rejected_rows"),
+        (n - rejected - kept).cast("bigint").alias("dupes_removed"),
+        pct(rejected, F.greatest(n, F.lit(1))).alias("rejection_pct"))
+    if units:
+        write_partitioned(metrics, met_path, keys, "parquet")
+        # what later steps read is the stored table, not the job again
+        stored = spark.read.schema(metrics.schema).parquet(met_path)
+        metrics = _of(stored, per, keys).select(*metrics.columns)
+    return SilverResult(clean_path, rej_path, met_path, metrics, dq.breakdown(raw, rules, keys=keys), units)

@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-# CSV layouts written here mark NULL with this token so that empty strings survive.
-CSV_NULL = "\\N"
+# The NULL token of CSV layouts, for writing and reading alike: an empty field is
+# NULL, an empty string is written in quotes.
+CSV_NULL = ""
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols=("year", "month"), fmt: str = "parquet",
@@ -34,17 +34,32 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def stored_units(spark: SparkSession, path: str, partition_cols=("year", "month")) -> list[dict]:
+    """The partitions of a table, from its folder names alone (no file is opened)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/" + "/".join(f"{c}=*" for c in partition_cols))
+    out = []
+    for status in fs.globStatus(p) or []:
+        parts = str(status.getPath()).split("/")[-len(partition_cols):]
+        out.append({k: v for k, v in (x.split("=", 1) for x in parts)})
+    return out
+
+
+def _folder(path: str, unit: dict) -> str:
+    """A partition's folder; Spark names that of a NULL value so."""
+    return f"{path.rstrip('/')}/" + "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in unit.items())
+
+
 def drop_partitions(spark: SparkSession, path: str, specs: list[dict]) -> int:
     """Delete partition folders (e.g. ``{"year": 2024, "month": 5}``) of a table.
-
-    Used when a replaced unit's new output is empty (a month whose rejected
-    set became empty): dynamic overwrite would otherwise keep the stale
-    partition. Metadata-only work on the driver; returns folders removed.
-    """
+    Metadata-only work on the driver; returns folders removed."""
     removed = 0
     for spec in specs:
-        sub = "/".join(f"{k}={v}" for k, v in spec.items())
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{sub}")
+        fs, p = _fs(spark, _folder(path, spec))
         if fs.exists(p):
             fs.delete(p, True)
             removed += 1
@@ -53,16 +68,19 @@ def drop_partitions(spark: SparkSession, path: str, specs: list[dict]) -> int:
 
 def replace_units(df: DataFrame, path: str, units: list[dict], partition_cols=("year", "month"),
                   fmt: str = "parquet") -> None:
-    """SNK-02/05: replace exactly ``units``: drop their folders that the new data does not
-    rewrite, then write the new data with dynamic overwrite."""
-    spark = df.sparkSession
-    write_partitioned(df, path, partition_cols, fmt)
-    present = {tuple(str(r[c]) for c in partition_cols)
-               for r in df.select(*partition_cols).distinct().collect()}
-    stale = [u for u in units if tuple(str(u[c]) for c in partition_cols) not in present]
-    drop_partitions(spark, path, stale)
+    """SNK-02/05: make the output of exactly ``units`` equal to ``df``.
+
+    One write with dynamic overwrite, which gives every partition it produces
+    new files; a unit whose old files are still there was not produced, and its
+    folder is dropped. File names tell, so the input is not computed again.
+    """
+    spark, cols = df.sparkSession, list(partition_cols)
+    units = [{c: u[c] for c in cols} for u in units]
+    before = [_file_names(spark, path, u) for u in units]
+    write_partitioned(df, path, cols, fmt)
+    drop_partitions(spark, path, [u for u, old in zip(units, before) if old and _file_names(spark, path, u) == old])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+def _file_names(spark: SparkSession, path: str, unit: dict) -> set[str]:
+    fs, p = _fs(spark, _folder(path, unit))
+    return {str(f.getPath().getName()) for f in fs.listStatus(p)} if fs.exists(p) else set()

@@ -9,6 +9,7 @@ setting is absent, which is the local/test case.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,48 +52,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable job settings to an existing session."""
+    """Apply the job settings that the session's launcher did not name itself."""
+    named = spark.sparkContext.getConf()
     for k, v in JOB_CONF.items():
-        try:
+        if not named.contains(k) and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked setting: keep the cluster's value
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise
-    (tests, local runs) makes a private folder and registers it.
+    Uses ``spark.checkpoint.dir`` when the cluster names one. Where it is unset,
+    a local session (tests) gets a private folder; a cluster must name a shared
+    one, as its executors do not see each other's disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="runway-ckpt-")
         spark.sparkContext.setCheckpointDir(configured)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
     return configured
-
-
-def scale_conf(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
-               max_split_bytes: int = 256 << 20) -> dict:
-    """Size shuffles and scan splits for an input of ``input_bytes``.
-
-    Initial shuffle partitions ≈ input / ``partition_bytes`` (at least twice
-    the cores), so the first stage after a shuffle never has partitions that
-    spill heavily; AQE then coalesces small ones to the advisory size and
-    splits skewed ones. Returns the applied settings.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    n = max(2 * cores, -(-int(input_bytes) // int(partition_bytes)))
-    conf = {
-        "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
-        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
-    }
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    return conf

@@ -139,17 +139,9 @@ def _memo(spark: SparkSession, key: str, build):
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that scans as fewer partitions than the session's cores.
-
-    The driver's tables are single files with one row group, so their scan
-    is one task and every narrow step after it (derivation, rule flags, the
-    map side of the dedup) would run on one core. A large layout of many
-    files scans in parallel already and is returned unchanged (no shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(c) for c in df.columns[:1]])
+    """Deal the rows of a fixture's source table over the shuffle partitions,
+    as its file is a single row group, which scans as one task."""
+    return df.repartition(F.col(df.columns[0]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,55 +1,78 @@
 """Zipped landing: monthly archives → flight rows, as one Spark job.
 
-``binaryFile`` lists the archives (path, length, content) as rows, so the
-work is spread one archive per task; ``mapInPandas`` opens each archive,
-takes its first ``.csv`` member (case-insensitive), and emits the CSV
-lines as text rows. Spark's own CSV parser then applies the explicit
-schema (``from_csv`` on the lines, JVM-side), so the only Python in
-the path is the unzip. The archive's size and the member's size are
-checked against the landing minimum (too small → ``missing``).
+``binaryFile`` lists the archives as rows; ``mapInPandas`` opens each archive
+from its bytes, streams its first ``.csv`` member (case-insensitive) through
+the csv module (quoted commas and line breaks are data) and emits chunks of
+bounded size: each row carries its archive's own header, so archives may order
+their columns differently. Spark then picks every schema column by name and
+casts it. Sizes come from the zip directory: checking them extracts nothing.
+Text that is no UTF-8 is replaced and counted (``bad_chars``).
 """
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from runway.operators.state import MIN_FILE_SIZE
 from runway.sources.schema import FLIGHTS_SCHEMA, conform
 
-LINE_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("csv_bytes", T.LongType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
-    T.StructField("error", T.StringType()),
-])
+CHUNK_ROWS = 2000  # CSV rows a task holds at once
+ROW_SCHEMA = "path string, row_no long, names array<string>, fields array<string>, bad_chars long"
+SIZE_SCHEMA = "path string, csv_bytes long, error string"
 
 
-def _unzip_lines(batches):
-    """Per archive: first .csv member's lines (header kept as line 0), or an error row."""
+def _member(content: bytes) -> tuple[zipfile.ZipFile | None, zipfile.ZipInfo | None, str | None]:
+    """An archive's first CSV member, or what is wrong with it."""
+    try:
+        archive = zipfile.ZipFile(io.BytesIO(content))
+    except zipfile.BadZipFile:
+        return None, None, "corrupt"
+    for info in archive.infolist():
+        if info.filename.lower().endswith(".csv"):
+            return archive, info, None
+    return archive, None, "no_csv"
+
+
+def _sizes(batches):
+    for pdf in batches:
+        rows = [(path, *(lambda m: (m[1].file_size if m[1] else 0, m[2]))(_member(content)))
+                for path, content in zip(pdf["path"], pdf["content"])]
+        yield pd.DataFrame(rows, columns=["path", "csv_bytes", "error"])
+
+
+def _rows(batches):
+    """CSV rows of each archive, a chunk at a time, with the archive's header."""
+    columns = ["path", "row_no", "names", "fields", "bad_chars"]
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    names = [n for n in zf.namelist() if n.lower().endswith(".csv")]
-                    if not names:
-                        out.append((path, None, 0, -1, None, "no_csv"))
+            archive, info, error = _member(content)
+            if error:
+                continue
+            with archive.open(info) as raw:
+                lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline=""))
+                names = [c.strip().lower() for c in next(lines, [])]
+                chunk = []
+                for n, fields in enumerate(lines, 1):
+                    if not fields:
                         continue
-                    data = zf.read(names[0])
-                    text = data.decode("utf-8", errors="replace")
-                    for i, line in enumerate(text.splitlines()):
-                        out.append((path, names[0], len(data), i, line, None))
-            except zipfile.BadZipFile:
-                out.append((path, None, 0, -1, None, "corrupt"))
-        yield pd.DataFrame(out, columns=[f.name for f in LINE_SCHEMA.fields])
+                    bad = sum(f.count("\ufffd") for f in fields)
+                    chunk.append((path, n, names, [f if f != "" else None for f in fields], bad))
+                    if len(chunk) >= CHUNK_ROWS:
+                        yield pd.DataFrame(chunk, columns=columns)
+                        chunk = []
+                if chunk:
+                    yield pd.DataFrame(chunk, columns=columns)
+
+
+def _archives(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", True).load(root))
 
 
 def archive_inventory(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -58,20 +81,16 @@ def archive_inventory(spark: SparkSession, root: str, glob: str = "*.zip") -> Da
             .option("recursiveFileLookup", True).load(root).select("path", "modificationTime", "length"))
 
 
-def archive_lines(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """SRC-06: text lines of each archive's first CSV member, one task per archive."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(root))
-    return files.select("path", "content").mapInPandas(_unzip_lines, LINE_SCHEMA)
+def archive_rows(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
+    """SRC-06: the CSV rows of each archive's first CSV member with its header's names."""
+    return _archives(spark, root, glob).select("path", "content").mapInPandas(_rows, ROW_SCHEMA)
 
 
-def landing_outcomes(spark: SparkSession, root: str, min_size: int = MIN_FILE_SIZE) -> DataFrame:
+def landing_outcomes(spark: SparkSession, root: str, min_size: int = MIN_FILE_SIZE, glob: str = "*.zip") -> DataFrame:
     """SRC-07 per archive: ``missing`` when the archive or its CSV is below the minimum, or
     the archive is corrupt / has no CSV; else ``success``."""
-    inv = archive_inventory(spark, root)
-    lines = archive_lines(spark, root)
-    per = lines.groupBy("path").agg(F.max("csv_bytes").alias("csv_bytes"), F.max("error").alias("error"))
-    j = inv.join(per, "path", "left")
+    sizes = _archives(spark, root, glob).select("path", "content").mapInPandas(_sizes, SIZE_SCHEMA)
+    j = archive_inventory(spark, root, glob).join(sizes, "path", "left")
     outcome = (F.when(F.col("length") < min_size, "missing")
                .when(F.col("error").isNotNull(), "missing")
                .when(F.col("csv_bytes") < min_size, "missing")
@@ -79,19 +98,10 @@ def landing_outcomes(spark: SparkSession, root: str, min_size: int = MIN_FILE_SI
     return j.select("path", "length", "csv_bytes", "error", outcome.alias("outcome"))
 
 
-def read_landing(spark: SparkSession, root: str, schema=FLIGHTS_SCHEMA) -> DataFrame:
-    """Flight rows of all archives: lines → Spark's CSV parser with the explicit schema.
-
-    Header lines (``line_no = 0``) are dropped before parsing; header names
-    are matched case-insensitively by position of the schema.
-    """
-    lines = archive_lines(spark, root).where(F.col("error").isNull() & (F.col("line_no") > 0)).select("line")
-    header = archive_lines(spark, root).where(F.col("line_no") == 0).select("line").limit(1).collect()
-    if not header:
-        return spark.createDataFrame([], schema)
-    cols = [c.strip().strip('"').lower() for c in header[0]["line"].split(",")]
-    by_name = {f.name: f for f in schema.fields}
-    file_schema = T.StructType([by_name.get(c, T.StructField(c, T.StringType())) for c in cols])
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in file_schema.fields)
-    parsed = lines.select(F.from_csv(F.col("line"), ddl).alias("r")).select("r.*")
-    return conform(parsed, schema)
+def read_landing(spark: SparkSession, root: str, schema=FLIGHTS_SCHEMA, glob: str = "*.zip") -> DataFrame:
+    """Flight rows of all archives: each schema column by its name in the archive's own
+    header (NULL where the archive lacks it or the field is empty), cast to its type."""
+    rows = archive_rows(spark, root, glob)
+    named = [F.get("fields", (F.array_position("names", f.name) - 1).cast("int")) for f in schema.fields]
+    return conform(rows.select(*[
+        F.when(F.array_contains("names", f.name), c).alias(f.name) for f, c in zip(schema.fields, named)]), schema)

@@ -1,33 +1,80 @@
 """Partitioned scans of the flights layout ``<root>/year=YYYY/month=M/``.
 
-The explicit ``FLIGHTS_SCHEMA`` is applied to CSV (no inference job, no
-type drift between months); Parquet carries its own types and is conformed
-to the schema. ``year``/``month`` come from partition discovery, so the
+CSV columns are matched by the names in each file's own header (any order, any
+case, extra columns), then conformed to ``FLIGHTS_SCHEMA`` (no inference job, no
+type drift between months); Parquet carries its own types and is conformed to
+the schema. ``year``/``month`` come from partition discovery, so the
 month and year filters below prune directories before any file is opened
 (``PartitionFilters`` in the plan), and column pruning reaches the reader.
 """
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from runway.plans.sinks import CSV_NULL
 from runway.sources.schema import FLIGHTS_SCHEMA, conform
 
 PARTITION_COLS = ("year", "month")
+# stands for a quoted empty field while reading, which is a string and no NULL
+_QUOTED_EMPTY = "\x01"
+
+
+def _headers(spark: SparkSession, root: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a CSV layout by header. One line of each file is read, by the
+    driver and many at a time, as a Parquet scan reads its footers."""
+    jvm = spark.sparkContext._jvm
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+        "pathGlobFilter", "*.csv*").load(root).select("path", "length").where("length > 0")
+
+    def header(path: str) -> tuple[str, ...]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return tuple(c.strip() for c in next(csv.reader([(lines.readLine() or "").lstrip("\ufeff")])))
+        finally:
+            lines.close()
+
+    files = [r["path"] for r in paths.collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for path, names in zip(files, pool.map(header, files)):
+            groups.setdefault(names, []).append(path)
+    return groups
+
+
+def read_csv_by_name(spark: SparkSession, root: str, null_value: str = CSV_NULL) -> DataFrame:
+    """A headered CSV layout as text columns: files with one header are read
+    together, the groups are joined by column name (lower case)."""
+    out = None
+    for names, files in sorted(_headers(spark, root).items()):
+        text = T.StructType([T.StructField(c.lower(), T.StringType()) for c in names])
+        part = (spark.read.schema(text).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
+                .option("nullValue", null_value).option("emptyValue", _QUOTED_EMPTY).option("basePath", root).csv(files))
+        part = part.withColumns({f.name: F.when(F.col(f.name) != _QUOTED_EMPTY, F.col(f.name)).when(
+            F.col(f.name).isNotNull(), F.lit("")) for f in text.fields})
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], FLIGHTS_SCHEMA)
 
 
 def read_flights(spark: SparkSession, root: str, fmt: str = "parquet", schema=FLIGHTS_SCHEMA,
-                 null_value: str = "") -> DataFrame:
-    """SRC-01: the whole partitioned flights layout with the explicit schema.
+                 null_value: str = CSV_NULL) -> DataFrame:
+    """SRC-01: the whole partitioned flights layout, columns by name, typed by the schema.
 
-    CSV: ``null_value`` is the NULL token ("" for plain CSV exports, where an
-    empty field is NULL; layouts written by ``write_partitioned`` with a
-    token keep empty strings apart from NULLs).
+    CSV: ``null_value`` is the NULL token. With the default, which layouts
+    written here use too, an empty field is NULL and a quoted empty one is an
+    empty string.
     """
     if fmt == "csv":
-        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("nullValue", null_value).option("basePath", root).csv(root))
+        df = read_csv_by_name(spark, root, null_value)
     elif fmt == "parquet":
         df = spark.read.option("basePath", root).parquet(root)
     else:
@@ -36,21 +83,25 @@ def read_flights(spark: SparkSession, root: str, fmt: str = "parquet", schema=FL
 
 
 def scan_month(spark: SparkSession, root: str, year: int, month: int, fmt: str = "parquet",
-               null_value: str = "") -> DataFrame:
+               null_value: str = CSV_NULL) -> DataFrame:
     """SRC-02: one month of one layout, by partition pruning."""
     return read_flights(spark, root, fmt, null_value=null_value).where((F.col("year") == year) & (F.col("month") == month))
 
 
 def scan_year(spark: SparkSession, root: str, year: int, fmt: str = "parquet",
-              null_value: str = "") -> DataFrame:
+              null_value: str = CSV_NULL) -> DataFrame:
     """SRC-03: all months of one year (months found by partition discovery)."""
     return read_flights(spark, root, fmt, null_value=null_value).where(F.col("year") == year)
 
 
-def read_table(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """SRC-04: every year of a table written by ``year`` partition (no glob needed)."""
+def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """SRC-04: every year of a table written by ``year`` partition (no glob needed).
+    CSV columns are typed by ``schema``, which CSV tables need."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", False).csv(root)
+        if schema is None:
+            raise ValueError("a CSV table is read with its schema")
+        df = read_csv_by_name(spark, root)
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return spark.read.parquet(root)
 
 

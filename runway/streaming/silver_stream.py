@@ -1,16 +1,12 @@
 """The Silver step as a Structured Streaming job over the raw layout.
 
-A file-source stream over ``<bronze>/year=/month=/`` with the explicit
-schema tracks which files were already processed in its checkpoint, so
-each run picks up exactly the new months (the incremental window) and
-``trigger(availableNow=True)`` processes the backlog and stops. Each
-micro-batch runs the batch Silver operators in ``foreachBatch`` and
-writes with dynamic partition overwrite, so a replayed batch (after a
-failure) rewrites the same partitions: the sink is idempotent.
-
-Dedup (DQ16) is per micro-batch; with ``maxFilesPerTrigger`` = files per
-month (one by default) every month lands in one batch, which is the
-reference's per-month dedup scope.
+A file-source stream over ``<bronze>/year=/month=/`` tracks in its checkpoint
+which files it has seen, so each run learns exactly which months changed and
+``trigger(availableNow=True)`` processes the backlog and stops. A micro-batch
+is only the news of a month: months come as any number of files, and files may
+come late. So ``foreachBatch`` takes the distinct (year, month) of its batch,
+reads those months whole from the raw layout (by column name, as every scan
+does) and replaces their output. A replayed batch does the same again.
 """
 
 from __future__ import annotations
@@ -18,23 +14,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from runway.plans.silver import KEYS, run_silver
+from runway.plans.sinks import CSV_NULL
 from runway.session import checkpoint_dir
+from runway.sources.scans import read_flights
 from runway.sources.schema import FLIGHTS_SCHEMA
 
 
 def silver_stream(spark: SparkSession, bronze_root: str, out_root: str, fmt: str = "parquet",
-                  checkpoint: str | None = None, max_files_per_trigger: int = 1, rules=None):
+                  checkpoint: str | None = None, max_files_per_trigger: int | None = None, rules=None,
+                  null_value: str = CSV_NULL):
     """Start the stream (availableNow) and return the ``StreamingQuery``."""
-    reader = spark.readStream.schema(FLIGHTS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "csv":
-        raw = reader.option("header", True).csv(bronze_root)
-    else:
-        raw = reader.parquet(bronze_root)
+    reader = spark.readStream.schema(FLIGHTS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    news = reader.option("header", True).csv(bronze_root) if fmt == "csv" else reader.parquet(bronze_root)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/silver-stream"
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        res = run_silver(df.sparkSession, df, out_root, fmt=fmt, rules=rules, keys=KEYS)
-        res.counts.unpersist()
+        months = df.select(*KEYS).distinct()
+        raw = read_flights(df.sparkSession, bronze_root, fmt, null_value=null_value)
+        run_silver(df.sparkSession, raw.join(months, list(KEYS), "left_semi"), out_root, fmt=fmt, rules=rules, keys=KEYS)
 
-    return (raw.writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
+    return (news.select(*KEYS).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())

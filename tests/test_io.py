@@ -96,17 +96,21 @@ def test_zipped_landing(spark, make_flights, tmp_dir):
 
 def test_sql_set_preload_fails_fast(tmp_dir):
     with pytest.raises(RuntimeError):
-        sqlset.load_sql_set(["time_block_performance", "no_such_table"])
+        sqlset.load_sql_set(["weekday_haul_profile", "no_such_table"])
     with open(os.path.join(tmp_dir, "empty.sql"), "w") as f:
         f.write("  ")
     with pytest.raises(RuntimeError):
         sqlset.load_sql_set(["empty"], tmp_dir)
 
 
-def test_sql_set_equals_dataframe_form(spark, make_flights):
-    df = make_flights([{}, {"deptimeblk": "1500-1559", "arrdelay": 40.0}, {"deptimeblk": ""}])
-    a = sqlset.run_sql(spark, "time_block_performance", silver=df)
-    assert canon(a.collect()) == canon(gold.time_block_performance(df).collect())
+def test_sql_set_over_a_dataframe(spark, make_flights):
+    df = make_flights([{}, {"distance": 100.0}, {"distance": 700.0, "arrdelay": 9.0}, {"distance": 500.0, "cancelled": 1.0},
+                       {"distance": None}, {"dayofweek": 6, "reporting_airline": "BB"}])
+    rows = {(r["dayofweek"], r["haul"]): r for r in sqlset.run_sql(spark, "weekday_haul_profile", silver=df).collect()}
+    assert set(rows) == {(5, "short"), (5, "medium"), (5, "long"), (6, "long")}
+    medium = rows[5, "medium"]
+    assert (medium["flights"], medium["flown_flights"], medium["worst_arr_delay"], medium["weekday_flights"],
+            medium["haul_rank"], medium["contested"]) == (2, 1, 9.0, 4, 1, False)
 
 
 def test_silver_and_gold_plans(spark, make_flights, tmp_dir):

@@ -181,20 +181,13 @@ def test_gold_watermark_and_total_failure_guard(spark):
         st.raise_on_total_failure(st.run_status(bad))
 
 
-def test_scale_conf(spark):
-    from runway.session import scale_conf
-
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    conf = scale_conf(spark, 100 << 40)  # 100 TiB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
-    spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
 def test_year_window(spark):
-    yrs = [r["year"] for r in st.year_window(spark, "g", 2025, baseline_year=2023).orderBy("year").collect()]
-    assert yrs == [2023, 2024, 2025]
-    rep = [r["year"] for r in st.year_window(spark, "g", 2025, st.REPROCESS, start_year="2024").collect()]
-    assert sorted(rep) == [2024, 2025]
-    for bad in (dict(start_year="24"), dict(start_year="2025", end_year="2024"), dict(start_year="2024", end_year="2026")):
+    marks = spark.createDataFrame([("g", 2023)], "key string, baseline int")
+    years = lambda *a, **k: sorted(r["year"] for r in st.year_window(marks, F.lit(2025), *a, **k).collect())
+    assert years() == [2023, 2024, 2025]
+    assert years(st.REPROCESS, "2024") == [2024, 2025] and years(st.REPROCESS, "2023", "2024") == [2023, 2024]
+    for bad in (("24",), ("x",), ("2025", "2024"), (None,)):
         with pytest.raises(ValueError):
-            st.year_window(spark, "g", 2025, st.REPROCESS, **bad)
+            years(st.REPROCESS, *bad)
+    with pytest.raises(Exception, match="exceeds ceiling"):
+        years(st.REPROCESS, "2024", "2026")
