@@ -85,8 +85,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
+COVERED, OPEN, KNOWN = 0, 1, 2  # a repeated run, one to look into, and one to compare with
+
+
 def _anchors(rows: DataFrame, length: int) -> DataFrame:
-    """A row for each run: anchor hash, hash of the run's bytes, row, place."""
+    """A row for each run: anchor hash, hash of the run's bytes, row, place, times.
+
+    Runs that occur more than once in the texts at hand are repeated, whatever
+    else there is: they go on as such (times 0, dealt by row), and one row
+    (times 2) stands for them at their anchor. So however often a run occurs, a
+    task sends its anchor one row a slice.
+    """
     def run(batches):
         for batch in batches:
             ids, at = batch.column(0).to_numpy(), 0
@@ -103,14 +112,22 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
                     place = anchor << 24 | (anchor - first) << 12 | (last - first)
                     out.append((h, np.array(own, dtype=np.uint64).view(np.int64), np.full(len(h), row), place))
                 at += len(texts)
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)],
-                                                     names=["anchor", "run", "row", "place"])
-
-    return rows.select("_row", "text").mapInArrow(run, "anchor long, run long, row long, place long")
-
+                if not out:
+                    continue
+                h, own, row, place = (np.concatenate(c) for c in zip(*out))
+                by = np.lexsort((own, h))
+                fresh = np.ones(len(by), dtype=bool)
+                fresh[1:] = (h[by[1:]] != h[by[:-1]]) | (own[by[1:]] != own[by[:-1]])
+                copies = np.bincount(np.cumsum(fresh) - 1)[np.cumsum(fresh) - 1]
+                single, twice, heads = by[copies == 1], by[copies > 1], by[(copies > 1) & fresh]
+                parts = np.concatenate([single, twice, heads])
+                times = np.repeat(np.array([1, 0, 2], dtype=np.int32), [len(single), len(twice), len(heads)])
+                to = np.where(times == 0, mix(row[parts].view(np.uint64)).view(np.int64), h[parts])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to), pa.array(own[parts]), pa.array(row[parts]), pa.array(place[parts]), pa.array(times)],
+                    names=["anchor", "run", "row", "place", "times"])
 
-COVERED, OPEN, KNOWN = 0, 1, 2  # a repeated run, one to look into, and one to compare with
+    return rows.select("_row", "text").mapInArrow(run, "anchor long, run long, row long, place long, times int")
 
 
 def _judge(anchors: DataFrame) -> DataFrame:
@@ -121,20 +138,20 @@ def _judge(anchors: DataFrame) -> DataFrame:
     """
     def judge(t: np.ndarray, more: bool, offset: int):
         """Kinds and blocks of whole anchors; ``more``: the first anchor had other runs before."""
-        anchor, run = t[0], t[1]
+        anchor, run, times = t[0], t[1], t[4]
         new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         fresh = new | np.concatenate([[True], run[1:] != run[:-1]])
         group, kind = np.cumsum(new) - 1, np.cumsum(fresh) - 1
-        copies = np.bincount(kind)[kind]
+        copies = np.bincount(kind, weights=times)[kind]
         runs = np.bincount(group, weights=fresh).astype(np.int64)
         before = np.cumsum(runs) - runs
         runs[0] += more
         several = runs[group] > 1
         number = kind - before[group] + np.where(group == 0, offset, 0)
         block = number // GROUP
-        yield t[2:], np.flatnonzero(copies > 1), COVERED, anchor, block
-        yield t[2:], np.flatnonzero(several & (copies == 1)), OPEN, anchor, block
-        yield t[2:], np.flatnonzero(several & (copies > 1) & fresh), KNOWN, anchor, block
+        yield t[2:4], np.flatnonzero((copies > 1) & (times == 1)), COVERED, anchor, block
+        yield t[2:4], np.flatnonzero(several & (copies == 1)), OPEN, anchor, block
+        yield t[2:4], np.flatnonzero(several & (copies > 1) & fresh), KNOWN, anchor, block
 
     def emit(parts):
         for (row, place), at, kind, anchor, block in parts:
@@ -147,7 +164,12 @@ def _judge(anchors: DataFrame) -> DataFrame:
     def run(batches):
         held, more, offset = None, False, 0
         for batch in batches:
-            t = np.stack([c.to_numpy() for c in batch.columns])
+            t = np.stack([c.to_numpy() for c in batch.columns]).astype(np.int64)
+            done = t[4] == 0
+            if done.any():
+                here = np.flatnonzero(done)
+                yield from emit([(t[2:4], here, COVERED, t[0], np.zeros(len(done), dtype=np.int64))])
+                t = t[:, ~done]
             if not t.shape[1]:
                 continue
             held = t if held is None else np.concatenate([held, t], axis=1)
@@ -163,10 +185,9 @@ def _judge(anchors: DataFrame) -> DataFrame:
                 cut = int(other[-1]) + 1 if len(other) else 0
                 if cut:
                     runs = len(np.unique(held[1, :cut]))
-                    tail = held[:, cut:]
                     # that another run follows is known already
                     yield from emit(judge(held[:, :cut], True, offset))
-                    more, offset, held = True, offset + runs, tail
+                    more, offset, held = True, offset + runs, held[:, cut:]
                 if held.shape[1] > CARRY_ROWS:
                     yield from emit(judge(held, more, offset))
                     held = held[:, -2:]
