@@ -5,12 +5,14 @@
    set form a class; from here on a class is one row.
 2. Classes that share a band hash are candidates. First every class of a bucket
    meets the bucket's smallest class only, which links most copies without
-   emitting a bucket's pairs. Then, inside buckets that still hold several
-   components, classes of different components meet, in blocks of bounded size.
+   emitting a bucket's pairs. Buckets that still hold several components then
+   tell which components to compare (a spanning forest of the candidates), and
+   the classes of a cluster of components meet, in blocks of bounded size.
 3. A candidate's signatures are compared a batch at a time. As soon as the
    posterior probability that its similarity reaches the threshold falls below
    the chosen miss probability, it is pruned.
-4. Survivors are verified on the full shingle sets of their texts.
+4. Survivors are verified on the full shingle sets of their texts. Pairs of a
+   cluster are compared where the block is held; only links leave it.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ HASHES = ROWS * BANDS
 BATCH = 25  # hashes compared at a time
 MISS = 1e-7  # posterior probability below which a candidate is pruned
 BLOCK = 2048  # classes of a bucket that meet in one block
+CLUSTER_BLOCK = 1024  # classes of a cluster that meet, with their sets, in one block
 
 _rng = np.random.default_rng(5)
 _A = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -155,26 +158,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, k: int) -> DataF
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs between classes of one bucket but of different components."""
-    lines = F.ceil(F.col("members") / BLOCK).cast("int")
-    line = F.pmod(F.xxhash64("rep"), lines).cast("int")
-    rows = rows.withColumn("line", line).withColumn("other", F.explode(F.sequence(F.lit(0), lines - 1)))
-    rows = rows.select("bucket", F.least("line", "other").alias("i"), F.greatest("line", "other").alias("j"), "line", "rep", "hub",
-                       "n", "comp", "sig")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def compare(t: pa.Table):
-        block = np.stack([t[c].to_numpy() for c in ("bucket", "i", "j")])
+def _blocks(rows: DataFrame, keys: list[str], members: str, block: int) -> DataFrame:
+    """Deal each group over a grid of blocks: a row goes to one line and meets every other."""
+    lines = F.ceil(F.col(members) / block).cast("int")
+    rows = rows.withColumn("line", F.pmod(F.xxhash64("rep"), lines).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), lines - 1)))
+    rows = rows.withColumn("i", F.least("line", "other")).withColumn("j", F.greatest("line", "other")).drop("other", members)
+    return rows.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
+
+
+def _whole_groups(batches, keys: list[str]):
+    """Tables of whole groups from batches in which groups follow each other."""
+    carry = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = t if carry is None else pa.concat_tables([carry, t])
+        key = np.stack([t[c].to_numpy() for c in keys])
+        other = np.flatnonzero((key != key[:, -1:]).any(axis=0))
+        cut = int(other[-1]) + 1 if len(other) else 0  # the last group may go on in the next batch
+        carry = t.slice(cut)
+        if cut:
+            yield t.slice(0, cut)
+    if carry is not None:
+        yield carry
+
+
+class _Sets:
+    """Union-find over whatever is united."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        up = self.up
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    def unite(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.find(x), self.find(y)
+        if x == y:
+            return False
+        self.up[max(x, y)] = min(x, y)
+        return True
+
+
+FOREST, MEMBER = 0, 1
+
+
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Which components a bucket suggests to compare, without its pairs: a row
+    (FOREST, a, b) for two components that no earlier row of the task connects,
+    and a row (MEMBER, class, component) for each class with a surviving pair."""
+    keys = ["bucket", "i", "j"]
+
+    def compare(t: pa.Table, joined: _Sets, known: set):
+        block = np.stack([t[c].to_numpy() for c in keys])
         new = np.ones(t.num_rows, dtype=bool)
         new[1:] = (block[:, 1:] != block[:, :-1]).any(axis=0)
         group = np.cumsum(new) - 1
-        size = np.bincount(group)[group]
-        place = np.arange(t.num_rows) - np.flatnonzero(new)[group]
+        rest = np.bincount(group)[group] - 1 - (np.arange(t.num_rows) - np.flatnonzero(new)[group])
         line, rep, hub, n, comp = (t[c].to_numpy() for c in ("line", "rep", "hub", "n", "comp"))
         two = block[1] != block[2]
         sig = _signatures(t["sig"].combine_chunks())
-        rest = size - 1 - place
+        out = []
         at, d = np.flatnonzero(rest >= 1), 1
         while len(at):
             x, y = at, at + d
@@ -183,29 +234,74 @@ def _within_buckets(rows: DataFrame, percent: int) -> DataFrame:
             x, y = x[ok], y[ok]
             if len(x):
                 keep = survive(sig[x], sig[y], percent)
-                if len(keep):
-                    a, b = rep[x[keep]], rep[y[keep]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                x, y = x[keep], y[keep]
+                for k in np.unique(np.concatenate([x, y])).tolist():
+                    if (r := int(rep[k])) not in known:
+                        known.add(r)
+                        out.append((MEMBER, r, int(comp[k])))
+                for a, b in set(zip(comp[x].tolist(), comp[y].tolist())):
+                    if joined.unite(a, b):
+                        out.append((FOREST, a, b))
             d += 1
             at = at[rest[at] >= d]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64()))],
+                                             names=["kind", "a", "b"])
 
     def run(batches):
-        carry = None
-        for batch in batches:
-            if not batch.num_rows:
+        joined, known = _Sets(), set()
+        for t in _whole_groups(batches, keys):
+            yield from compare(t, joined, known)
+
+    return _blocks(rows, ["bucket"], "members", BLOCK).mapInArrow(run, "kind int, a long, b long")
+
+
+def _linked(rows: DataFrame, percent: int, k: int) -> DataFrame:
+    """Links between components, verified on the full sets inside each block of a
+    cluster: a class meets the others whose signatures survive, unless a link
+    already joins their components. A block returns fewer links than components."""
+    keys = ["cluster", "i", "j"]
+
+    def verify(t: pa.Table):
+        two = t["i"][0].as_py() != t["j"][0].as_py()
+        line, rep, n, comp = (t[c].to_numpy() for c in ("line", "rep", "n", "comp"))
+        sig = _signatures(t["sig"].combine_chunks())
+        sets = shingle_sets(t["text"].to_pylist(), k)
+        lens = np.array([len(x) for x in sets])
+        words, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(lens) - lens
+        joined, out = _Sets(), []
+        root = comp.copy()
+        for i in range(len(rep)):
+            j = np.arange(i + 1, len(rep))
+            ok = (root[j] != root[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))
+            if two:
+                ok &= line[j] != line[i]
+            j = j[ok]
+            if not len(j):
+                continue
+            j = j[survive(sig[np.full(len(j), i)], sig[j], percent)]
+            if not len(j):
                 continue
-            t = pa.Table.from_batches([batch])
-            t = t if carry is None else pa.concat_tables([carry, t])
-            key = np.stack([t[c].to_numpy() for c in ("bucket", "i", "j")])
-            # the last block may go on in the next batch
-            cut = int(np.flatnonzero((key != key[:, -1:]).any(axis=0))[-1]) + 1 if (key != key[:, -1:]).any() else 0
-            carry = t.slice(cut)
-            if cut:
-                yield from compare(t.slice(0, cut))
-        if carry is not None:
-            yield from compare(carry)
+            mark = np.zeros(len(words), dtype=np.int64)
+            mark[ids[starts[i]:starts[i] + lens[i]]] = 1
+            common = np.array([mark[ids[starts[x]:starts[x] + lens[x]]].sum() for x in j.tolist()])
+            for x in j[100 * common >= percent * (lens[i] + lens[j] - common)].tolist():
+                if joined.unite(int(comp[i]), int(comp[x])):
+                    out.append((int(rep[i]), int(rep[x])))
+                    root = np.array([joined.find(c) for c in comp.tolist()])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    def run(batches):
+        for t in _whole_groups(batches, keys):
+            key = np.stack([t[c].to_numpy() for c in keys])
+            edges = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), t.num_rows]):
+                if hi - lo > 1:
+                    yield from verify(t.slice(lo, hi - lo))
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return _blocks(rows, ["cluster"], "members", CLUSTER_BLOCK).mapInArrow(run, "a long, b long").distinct()
 
 
 def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
@@ -246,8 +342,14 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
     placed = stage(placed, "placed")
     split = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     open_ = placed.join(split, "bucket").join(reps.select("rep", "sig"), "rep")
-    more = stage(_within_buckets(open_, percent), "bucket-pairs")
-    more = stage(_verified(more, texts, percent, k), "bucket-links")
+    found = stage(_candidates(open_, percent), "candidates")
+    clusters = components(found.where(F.col("kind") == FOREST).select("a", "b"))
+    members = found.where(F.col("kind") == MEMBER).select(F.col("a").alias("rep"), F.col("b").alias("comp")).distinct().join(
+        clusters.select(F.col("node").alias("comp"), F.col("root").alias("cluster")), "comp")
+    members = stage(members, "members")
+    sizes = stage(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")), "cluster-sizes")
+    rows = members.join(sizes, "cluster").join(reps.select("rep", "n", "sig"), "rep").join(texts, "rep")
+    more = stage(_linked(rows, percent, k), "cluster-links")
     # a document whose rows have several texts joins the groups of all of them
     same = some.join(classes, ["f1", "f2"]).where("doc_id <> rep").select("doc_id", "rep").distinct()
     several = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")

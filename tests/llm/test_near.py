@@ -60,6 +60,7 @@ def test_matches_brute_force(spark):
 
 def test_blocks_of_a_hot_bucket(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 3)
+    monkeypatch.setattr(near, "CLUSTER_BLOCK", 3)
     check(spark, copies(3, 50))
 
 
