@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 256
 CHUNK = 8192  # words that advance together
-TABLE_ENTRIES = 500_000  # a worker's tables of encoded words start anew beyond this
-SLICE_BYTES = 8 << 20  # text that is encoded at once
+TABLE_ENTRIES = 400_000  # a worker's tables of encoded words start anew beyond this
+IDLE_ENTRIES = 60_000  # what they keep between tasks, when the worker may serve another stage
+SLICE_BYTES = 8 << 20  # characters of text that are worked on at once
 
 _ID_BITS = 20
 _ID_MASK = (1 << _ID_BITS) - 1
@@ -90,6 +91,13 @@ class ByteBPE:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def trim(self) -> None:
+        """Keep the words met first, which are the frequent ones; called at a task's end."""
+        for name in ("words", "pieces"):
+            table = getattr(self, name)
+            if len(table) > IDLE_ENTRIES:
+                setattr(self, name, dict(itertools.islice(table.items(), IDLE_ENTRIES)))
+
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << _ID_BITS | right
         at = np.searchsorted(self.keys, key)
@@ -278,5 +286,6 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names=names[:len(cols)])
                 at += len(texts)
+        coder.trim()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runway.llm.bpe import slices
 from runway.llm.common import crc_mod
 
 UNKNOWN = "und"
@@ -107,21 +108,28 @@ def predict(docs: DataFrame, model: Model, held_out_mod: int = 5, keep: list[str
     input columns to hand through unchanged (after the five).
     """
     keep = keep or []
-    # five columns of this operator stand first under names that no kept column can clash with
     held = F.coalesce(crc_mod(F.col("doc_id").cast("long"), held_out_mod) == 0, F.lit(False))
-    source = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"),
-                         held.alias("_held"), *[F.col(c).alias(f"kept_{c}") for c in keep])
+    # a text that is handed through is sent once
+    text = [] if "text" in keep else [F.col("text").cast("string").alias("_text")]
+    at = 2 + keep.index("text") if "text" in keep else 2 + len(keep)
+    source = docs.select(F.col("doc_id").cast("long").alias("_id"), held.alias("_held"),
+                         *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep], *text)
     schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean" + "".join(
         f", `kept_{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
         tools = Compressors(model)
-        for b in batches:
-            out = [tools.classify(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array([x[0] for x in out], pa.string()),
-                 pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())]
-                + [b.column(3 + k) for k in range(len(keep))],
-                names=["doc_id", "held_out", "lang_pred", "score", "rejected", *[f"kept_{c}" for c in keep]])
+        for batch in batches:
+            done = 0
+            # results leave in slices: what a task holds besides the batch is bounded
+            for texts in slices(batch.column(at).to_pylist()):
+                b = batch.slice(done, len(texts))
+                done += len(texts)
+                out = [tools.classify(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array([x[0] for x in out], pa.string()),
+                     pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())]
+                    + [b.column(2 + k) for k in range(len(keep))],
+                    names=["doc_id", "held_out", "lang_pred", "score", "rejected", *[f"kept_{c}" for c in keep]])
 
     return source.mapInArrow(run, schema)
