@@ -30,12 +30,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runway.llm.common import small_batches
+
 # Fixed value: the published word pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 256
 CHUNK = 8192  # words that advance together
-TABLE_ENTRIES = 400_000  # a worker's tables of encoded words start anew beyond this
-IDLE_ENTRIES = 60_000  # what they keep between tasks, when the worker may serve another stage
+TABLE_ENTRIES = 300_000  # a worker's tables of encoded words start anew beyond this
+IDLE_ENTRIES = 20_000  # what they keep between tasks, when the worker may serve another stage
 SLICE_BYTES = 8 << 20  # characters of text that are worked on at once
 
 _ID_BITS = 20
@@ -288,4 +290,4 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool
                 at += len(texts)
         coder.trim()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -31,6 +31,17 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """``df``, whose texts then reach Python ``rows`` at a time (unless the launcher
+    named a number): a batch is held by the JVM and by the worker at once, and a
+    worker keeps the memory of its largest batch for the stages that follow."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = df.sparkSession
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(rows))
+    return df
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n`` (fold assignment)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import crc_mod
+from runway.llm.common import crc_mod, small_batches
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 400  # labelled documents a language
@@ -112,7 +112,7 @@ def predict(docs: DataFrame, model: Model, held_out_mod: int = 5, keep: list[str
     # a text that is handed through is sent once
     text = [] if "text" in keep else [F.col("text").cast("string").alias("_text")]
     at = 2 + keep.index("text") if "text" in keep else 2 + len(keep)
-    source = docs.select(F.col("doc_id").cast("long").alias("_id"), held.alias("_held"),
+    source = small_batches(docs).select(F.col("doc_id").cast("long").alias("_id"), held.alias("_held"),
                          *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep], *text)
     schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean" + "".join(
         f", `kept_{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)

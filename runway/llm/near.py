@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import stage
+from runway.llm.common import small_batches, stage
 from runway.llm.components import components
 from runway.llm.shingles import mix, shingle_sets
 
@@ -114,7 +114,7 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
                     names=["doc_id", "n_shingles", "f1", "f2", "sig", "bands"])
                 at += len(texts)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>")
 
 

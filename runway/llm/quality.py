@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runway.llm.common import crc_mod
+from runway.llm.common import crc_mod, small_batches
 
 SAMPLE_ROWS = 20_000  # labelled rows that the trees are grown from
 BINS, TREES, DEPTH, RATE, LEAF_ROWS, RIDGE = 48, 60, 4, 0.15, 10, 1.0
@@ -176,6 +176,6 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
                 names=["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(crc_mod(F.col("doc_id").cast("long"), 3) == 1, F.lit(False))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        held.alias("held_out")).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import stage
+from runway.llm.common import small_batches, stage
 from runway.llm.shingles import mix
 from runway.llm.suffixes import suffix_array
 
@@ -372,7 +372,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rest = [c for c in docs.columns if c not in ("text", *added)]
     # the input's columns go through under numbers, so that no name of theirs can clash
     handed = [f"in{k}" for k in range(len(rest))]
-    rows = _keyed(docs.select(*[F.col(f"`{c}`").alias(h) for c, h in zip(rest, handed)],
+    rows = _keyed(small_batches(docs).select(*[F.col(f"`{c}`").alias(h) for c, h in zip(rest, handed)],
                               F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")))
     judged = stage(_judge(_anchors(rows, length)), "judged")
     first = (F.shiftright("place", 24) - F.shiftright("place", 12).bitwiseAND(F.lit(0xFFF)))
