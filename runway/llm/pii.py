@@ -10,8 +10,9 @@ country code, mail addresses their top-level domain. It is written in the
 mention's own format: case, spacing, separators and prefixes stay.
 
 Collision check: over the distinct entities of the whole input, a surrogate
-must be unique in its kind and equal no form that occurs. The entity that
-loses moves on to its next attempt until none collides. Only documents with
+must be unique in its kind and equal no form that occurs (listed given names
+only have to be unique). A listed name keeps its place in the rotation; any
+other entity that loses moves on to its next attempt until none collides. Only documents with
 such an entity read the changed attempts; all others are rewritten in the scan.
 """
 
@@ -114,6 +115,14 @@ def _name_kind(prefix: Column, token: Column, at: Column, tokens: Column) -> Col
             .when(first & female, F.concat(F.lit("given_female"), script)).otherwise("surname"))
 
 
+def _listed(kind: Column, form: Column) -> Column:
+    """Whether a form is in the list of its kind."""
+    out = F.lit(False)
+    for group, names in GIVEN.items():
+        out = out | ((kind == "given_" + group) & form.isin(names))
+    return out
+
+
 def _surrogate(key: str, kind: Column, form: Column, attempt: Column) -> Column:
     """Replacement of a canonical form."""
     seed = F.concat_ws("|", F.lit(key), kind, form, attempt.cast("string"))
@@ -223,18 +232,21 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
     # state: entities whose surrogate has been looked at and may still lose
     state = stage(entities.withColumn("attempt", F.lit(0)).withColumn(
         "new", _surrogate(key, F.col("kind"), F.col("form"), F.col("attempt"))), "surrogates")
-    # a listed name goes to a listed name: only uniqueness counts there
-    rotates = F.col("kind").startswith("given_")
-    first = F.row_number().over(W.partitionBy("kind", "new").orderBy("attempt", "form"))
+    # a listed name's place is fixed, so it wins every tie; the others can move on
+    first = F.row_number().over(W.partitionBy("kind", "new").orderBy(
+        (~_listed(F.col("kind"), F.col("form"))).cast("int"), "attempt", "form"))
     for n in range(ROUNDS):
         judged = state.join(forms, ["kind", "new"], "left").withColumn("nth", first)
-        loses = (F.col("nth") > 1) | (F.col("taken").isNotNull() & ~rotates)
+        # where a listed name is given out only uniqueness counts
+        loses = (F.col("nth") > 1) | (F.col("taken").isNotNull() & ~_listed(F.col("kind"), F.col("new")))
         judged = stage(judged.select("kind", "form", "attempt", "new", loses.alias("loses")), f"round{n}")
         if judged.where("loses").isEmpty():
             break
-        attempt = F.when(F.col("loses"), F.col("attempt") + 1).otherwise(F.col("attempt"))
-        state = stage(judged.select("kind", "form", attempt.alias("attempt"), F.when(F.col("loses"), _surrogate(
-            key, F.col("kind"), F.col("form"), F.col("attempt") + 1)).otherwise(F.col("new")).alias("new")), f"state{n}")
+        # the next attempt is a column of its own first: an alias "attempt" beside the
+        # surrogate would be read inside its lambdas in place of the input's column
+        moved = judged.withColumn("next", F.when(F.col("loses"), F.col("attempt") + 1).otherwise(F.col("attempt")))
+        drawn = F.when(F.col("loses"), _surrogate(key, F.col("kind"), F.col("form"), F.col("next"))).otherwise(F.col("new"))
+        state = stage(moved.select("kind", "form", F.col("next").alias("attempt"), drawn.alias("new")), f"state{n}")
     else:
         raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds: the values' format leaves too few")
     return state.where("attempt > 0").select("kind", "form", "attempt")

@@ -58,6 +58,17 @@ def test_collisions_are_resolved(spark):
     assert not set(mails) & {t.split()[1] for t in texts}
 
 
+def test_listed_names_keep_their_place(spark):
+    # all listed names, and names from outside that sort before and after them
+    outside = ["Aaron", "Adam", "Alan", "Anthony", "Zach"]
+    texts = [f"Mr. {n.capitalize()} Smith" for n in pii.GIVEN["male"]] + [f"Mr. {n} Smith" for n in outside]
+    out, _ = run(spark, texts)
+    given = [t.split()[1].lower() for t in out]
+    assert len(set(given)) == len(texts) and set(given[:16]) == set(pii.GIVEN["male"])
+    assert all(a != b.split()[1].lower() for a, b in zip(given, texts))
+    assert not set(given[16:]) & {n.lower() for n in outside}
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = [t for t in ODD_TEXTS] + ["Licensed under the Apache License, Version 2.0.", "MIT License 3.1 and CC BY-NC 4.0.",
                                       "on 2024-01-02 at 12:30, 1,000,000 times", "At At At Der Und The"]
