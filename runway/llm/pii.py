@@ -12,12 +12,17 @@ mention's own format: case, spacing, separators and prefixes stay.
 Collision check: over the distinct entities of the whole input, a surrogate
 must be unique in its kind and equal no form that occurs (listed given names
 only have to be unique). A listed name keeps its place in the rotation; any
-other entity that loses moves on to its next attempt until none collides. Only documents with
+other entity that loses moves on to its next attempt until none collides. A
+format may hold fewer values than entities, so from attempt FREE_FORM on the
+surrogate leaves it: it grows by keyed characters, more with each attempt (an
+IP address first takes octets of any length), until all are distinct. Only documents with
 such an entity read the changed attempts; all others are rewritten in the scan.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,8 +30,7 @@ from pyspark.sql import functions as F
 from runway.llm.common import stage
 
 KEY = "runway-surrogates"  # default; pass a secret one in production
-ROUNDS = 24
-FREE_FORM = 8  # from this attempt on a mail address gives up its local part's format
+FREE_FORM = 8  # from this attempt on a surrogate gives up its format, which may hold too few values
 BROADCAST_ROWS = 10_000  # documents with changed attempts that may be broadcast, by count
 
 # Given names by gender and script; a name maps to another of its list.
@@ -160,19 +164,33 @@ def _draw(key: str, kind: Column, form: Column, attempt: Column, stream: Column,
         new = F.when(kind == "iban", F.upper(new)).otherwise(new)
         return F.when((i < lead) | (i >= n - tail), c).otherwise(new)
 
+    def more() -> Column:
+        """What a surrogate grows by, in characters of its own sort."""
+        letters = F.when(kind.isin("phone", "card", "ssn", "iban"), drawn["digit"]).when(is_hex, stream)
+        for script, name in (("Cyrillic", "cyr_other"), ("Greek", "gr_other"), ("Han", "han")):
+            letters = letters.when(form.rlike(r"\p{Is" + script + "}"), drawn[name])
+        return F.substring(letters.otherwise(drawn["other"]), F.lit(65), grown)
+
+    grown = F.least(4 * (attempt - FREE_FORM + 1), F.lit(64))
+    free_form = attempt >= FREE_FORM
+
     def finish(plain: Column) -> Column:
         tries = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(
-            F.substring(plain, F.lit(1), n - 1), d.cast("string")))
+            F.substring(plain, F.lit(1), F.length(plain) - 1), d.cast("string")))
         checked = F.get(F.filter(tries, lambda x: F.call_function("luhn_check", x)), F.lit(0))
         octets = F.array_join(F.transform(F.split(form, r"\."), lambda o, i: (
             F.when(F.length(o) == 1, F.substring(drawn["digit"], 3 * i + 1, F.lit(1)))
             .when(F.length(o) == 2, F.concat(F.translate(F.substring(drawn["digit"], 3 * i + 1, F.lit(1)), "0", "5"),
                                              F.substring(drawn["digit"], 3 * i + 2, F.lit(1))))
             .otherwise(F.concat(F.lit("1"), F.substring(drawn["digit"], 3 * i + 2, F.lit(2)))))), ".")
-        free = F.concat(F.lit("u"), F.substring(stream, 1, 12), F.regexp_extract(plain, "(@.*)$", 1))
-        out = (F.when(kind == "ip", octets)
+        # four octets of any length; much later attempts take more of them
+        last = F.least(F.greatest(attempt - FREE_FORM - 4, F.lit(3)), F.lit(63))
+        any_octets = F.array_join(F.transform(F.sequence(F.lit(0), last), lambda i: F.conv(
+            F.substring(stream, 2 * i + 1, F.lit(2)), 16, 10)), ".")
+        free = F.concat(F.lit("u"), F.substring(stream, F.lit(1), 8 + grown), F.regexp_extract(plain, "(@.*)$", 1))
+        out = (F.when((kind == "ip") & free_form, any_octets).when(kind == "ip", octets)
                .when((kind == "card") & F.call_function("luhn_check", form), checked)
-               .when((kind == "email") & (attempt >= FREE_FORM), free))
+               .when((kind == "email") & free_form, free))
         for group, names in GIVEN.items():
             # a keyed rotation of the list is one to one; a name from outside the list gets a keyed place in it
             listed = F.array(*map(F.lit, names))
@@ -184,16 +202,18 @@ def _draw(key: str, kind: Column, form: Column, attempt: Column, stream: Column,
             out = out.when((kind == "given_" + group) & (inside | (attempt < 4)), F.get(listed, at.cast("int")))
         return out.otherwise(plain)
 
-    return _let(F.array_join(F.transform(F.split(form, ""), swap), ""), finish)
+    plain = F.array_join(F.transform(F.split(form, ""), swap), "")
+    return _let(F.when(free_form & (kind != "email"), F.concat(plain, more())).otherwise(plain), finish)
 
 
-def _write(body: Column, new: Column) -> Column:
-    """``new`` in the format of ``body``: letters and digits in its places and case."""
-    return _let(F.regexp_replace(new, r"[^\p{L}\p{N}]", ""), lambda letters: _place(body, new, letters))
+def _write(body: Column, new: Column, attempt: Column) -> Column:
+    """``new`` in the format of ``body``: letters and digits in its places and case.
+    One that has left the format is written as it is, but for the case."""
+    return _let(F.regexp_replace(new, r"[^\p{L}\p{N}]", ""), lambda letters: _place(body, new, letters, attempt))
 
 
-def _place(body: Column, new: Column, letters: Column) -> Column:
-    same = F.length(letters) == F.length(F.regexp_replace(body, r"[^\p{L}\p{N}]", ""))
+def _place(body: Column, new: Column, letters: Column, attempt: Column) -> Column:
+    same = (attempt < FREE_FORM) & (F.length(letters) == F.length(F.regexp_replace(body, r"[^\p{L}\p{N}]", "")))
     filled = F.aggregate(
         F.split(body, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda acc, c: F.when(c.rlike(r"[\p{L}\p{N}]"), F.struct(
@@ -235,7 +255,8 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
     # a listed name's place is fixed, so it wins every tie; the others can move on
     first = F.row_number().over(W.partitionBy("kind", "new").orderBy(
         (~_listed(F.col("kind"), F.col("form"))).cast("int"), "attempt", "form"))
-    for n in range(ROUNDS):
+    # ends: from FREE_FORM on each attempt has more values than the last, up to 64 keyed characters
+    for n in count():
         judged = state.join(forms, ["kind", "new"], "left").withColumn("nth", first)
         # where a listed name is given out only uniqueness counts
         loses = (F.col("nth") > 1) | (F.col("taken").isNotNull() & ~_listed(F.col("kind"), F.col("new")))
@@ -247,8 +268,6 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
         moved = judged.withColumn("next", F.when(F.col("loses"), F.col("attempt") + 1).otherwise(F.col("attempt")))
         drawn = F.when(F.col("loses"), _surrogate(key, F.col("kind"), F.col("form"), F.col("next"))).otherwise(F.col("new"))
         state = stage(moved.select("kind", "form", F.col("next").alias("attempt"), drawn.alias("new")), f"state{n}")
-    else:
-        raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds: the values' format leaves too few")
     return state.where("attempt > 0").select("kind", "form", "attempt")
 
 
@@ -286,7 +305,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def rewrite(p: Column) -> Column:
         new = F.transform(p["units"], lambda u, i: _let(attempt(u), lambda n: _let(
-            _surrogate(key, u["kind"], u["form"], n), lambda s: _write(F.get(p["tokens"], i), s))))
+            _surrogate(key, u["kind"], u["form"], n), lambda s: _write(F.get(p["tokens"], i), s, n))))
         return F.concat(p["prefix"], F.array_join(new, " "))
 
     pieces = F.transform("_gaps", lambda g, i: F.concat(

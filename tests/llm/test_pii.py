@@ -69,6 +69,19 @@ def test_listed_names_keep_their_place(spark):
     assert not set(given[16:]) & {n.lower() for n in outside}
 
 
+def test_formats_with_too_few_values(spark):
+    # more forms than surrogates of their format: each still gets one of its own
+    names = [f"Mr {c}{v}" for c in "BCDFGHJKLMNPQRSTVWXZ" for v in "aeiou"] + [f"Mr {v}'" for v in "AEIOU"]
+    ips = [f"v {n // 1000}.{n // 100 % 10}.{n // 10 % 10}.{n % 10}" for n in range(5000)]
+    phones = [f"+1 {n // 100 % 10} {n % 100:02} 11" for n in range(300)]
+    texts = names + ips + phones + ["password = '******'", "password = '********'"]
+    out, n = run(spark, texts)
+    assert set(n) == {1} and len(set(out)) == len(texts) and not set(out) & set(texts)
+    assert all(re.fullmatch(r"Mr [A-Z][A-Za-z']+", t) for t in out[:len(names)])
+    numbers = [t[2:].split(".") for t in out[len(names):len(names) + 5000]]
+    assert all(len(x) == 4 and all(0 <= int(o) <= 255 for o in x) for x in numbers)
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = [t for t in ODD_TEXTS] + ["Licensed under the Apache License, Version 2.0.", "MIT License 3.1 and CC BY-NC 4.0.",
                                       "on 2024-01-02 at 12:30, 1,000,000 times", "At At At Der Und The"]
