@@ -2,8 +2,10 @@
 
 Each language gets a zstandard raw-content dictionary: a bounded sample of its
 labelled texts, in lower case, without lines that other languages' samples
-hold as well. A text is compressed whole with every dictionary; the language
-whose dictionary gives the fewest bytes wins, the more frequent one at a tie.
+hold as well. The whole text is compressed with every dictionary, a long one in
+blocks that the dictionary serves afresh: it saves a bounded number of bytes a
+block, so the margin does not fall with the length. The language whose
+dictionary gives the fewest bytes in all wins, the more frequent one at a tie.
 The margin is how much smaller the best size is than the second best. A close
 result is decided by a second, finer compression level; a margin that is still
 narrow rejects the text.
@@ -22,6 +24,7 @@ from runway.llm.common import crc_mod, small_batches
 UNKNOWN = "und"
 SAMPLE_DOCS = 400  # labelled documents a language
 DOC_CHARS = 400  # characters that each of them gives to the dictionary
+BLOCK = 1 << 16  # bytes of a text that are compressed at once, at most
 LEVEL = 3
 CLOSE = 0.05  # below this margin the finer level decides
 FINE_LEVEL = 12
@@ -81,7 +84,10 @@ class Compressors:
 
     @staticmethod
     def _best(raw: bytes, tools: list[zstandard.ZstdCompressor]) -> tuple[int, float]:
-        sizes = [len(t.compress(raw)) for t in tools]
+        # blocks of equal length: no short one at the end
+        step = -(-len(raw) // -(-len(raw) // BLOCK))
+        view = memoryview(raw)
+        sizes = [sum(len(t.compress(view[i:i + step])) for i in range(0, len(raw), step)) for t in tools]
         best = sizes.index(min(sizes))
         if len(sizes) == 1:
             return best, 1.0

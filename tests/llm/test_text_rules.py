@@ -80,6 +80,15 @@ def test_language_ignores_held_out_labels(spark):
     assert "zz" not in langid.fit(wrong)
 
 
+def test_language_margin_does_not_fall_with_length(spark):
+    tools = langid.Compressors(langid.fit(lang_docs(spark)))
+    long = vowels(5, 800_000, LANGS["bb"])
+    assert len(long) > 5_000_000
+    lang, score, rejected = tools.classify(long)
+    assert lang == "bb" and not rejected
+    assert score > 0.5 * tools.classify(long[:200_000])[1]  # their blocks differ in length
+
+
 def test_language_unknown_nulls_repeats_empty(spark):
     df = lang_docs(spark, [(900, None, "aa", "s", 0), (901, "12 34 !", "aa", "s", 0), (902, "", None, None, None),
                            (None, "abc abd", "aa", "s", 7), (903, "abcde", "aa", "s", 5), (903, "abcde", "aa", "s", 5),
