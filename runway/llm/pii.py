@@ -1,6 +1,8 @@
 """Personal data: surrogate generation with DataFrame expressions only.
 
-Mentions are found by one pattern. Each is read as a kind and a canonical form
+Mentions are found by one pattern; names are found behind a title or as a listed
+given name with a surname. The tokens of a document's names are then looked for
+on their own in the rest of that document (as written, or in capitals). Each is read as a kind and a canonical form
 (case, spacing and separators taken off), so all mentions of one entity share
 a form. Its surrogate is drawn from a keyed digest of kind, form and attempt:
 digits become digits, vowels vowels, consonants consonants of the same script;
@@ -45,10 +47,17 @@ GIVEN = {
 MALE_TITLES = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Господин"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Lady", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"]
 TITLES = [*MALE_TITLES, *FEMALE_TITLES, "Dr", "Prof"]
+# title-case words that the pattern may take into a name, but that are no name on their own
+NOT_NAMES = ("a an and are as at but by for from he her his how i if in is it its my no not of on or our she so that the "
+             "their then there these they this those to was we were what when where who why with yes you your "
+             "der die das den dem und ein eine er sie es ist im am zu mit von le la les un une et il elle du des de est "
+             "el los las un una y en es con del al и в на он она они это не по с к за от").split()
 
 _BEFORE, _AFTER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 _SECRET = r"(?i:token|secret|api[_-]?key|password|passwd)[\"']?\s{0,4}[:=]\s{0,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+# the lower-case rest of a name's token, without a possessive ending if something is left then
+_REST = r"(?:(?:(?!'s(?!\p{L}))[\p{Ll}'-])+|[\p{Ll}'-]+)\p{L}*"
 _GIVEN_ALL = "|".join(n.capitalize() for names in GIVEN.values() for n in names)
 PATTERN = "|".join([
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
@@ -60,8 +69,8 @@ PATTERN = "|".join([
     _BEFORE + r"\d{3}-\d{2}-\d{4}" + _AFTER,
     _BEFORE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _AFTER,
     _BEFORE + r"\d(?:[ -]?\d){12,18}" + _AFTER,
-    r"(?<!\p{L})(?:" + "|".join(TITLES) + r")\.? \p{Lu}[\p{Ll}'-]+\p{L}*(?: \p{Lu}[\p{Ll}'-]+\p{L}*){0,2}",
-    r"(?<!\p{L})(?:" + _GIVEN_ALL + r") \p{Lu}\p{Ll}[\p{L}'-]+",
+    r"(?<!\p{L})(?:" + "|".join(TITLES) + r")\.? \p{Lu}" + _REST + r"(?: \p{Lu}" + _REST + "){0,2}",
+    r"(?<!\p{L})(?:" + _GIVEN_ALL + r") \p{Lu}\p{Ll}(?:(?:(?!'s(?!\p{L}))[\p{L}'-])+|[\p{L}'-]+)",
 ])
 # what a text must hold for the pattern to be worth trying
 HINT = r"[@\d]|(?i:token|secret|api[_-]?key|password|passwd)|" + r"(?<!\p{L})(?:" + "|".join(TITLES) + "|" + _GIVEN_ALL + r")\.? \p{Lu}"
@@ -227,12 +236,40 @@ def _place(body: Column, new: Column, letters: Column, attempt: Column) -> Colum
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """Adds _gaps (text between mentions) and _parsed; null where there is none."""
+    """Adds _gaps (text between mentions, as pieces and the bare names between
+    them), _parsed and _names (the document's name tokens); null where there is
+    no mention."""
     hinted = F.when(F.col("text").rlike(HINT), F.expr(f"regexp_extract_all(text, r'{_sql(PATTERN)}', 0)"))
     df = docs.withColumn("_mentions", hinted)
     has = F.size("_mentions") > 0
-    return (df.withColumn("_gaps", F.when(has, F.split("text", PATTERN, -1)))
-            .withColumn("_parsed", F.when(has, F.transform("_mentions", _parse))).drop("_mentions"))
+    df = (df.withColumn("_between", F.when(has, F.split("text", PATTERN, -1)))
+          .withColumn("_parsed", F.when(has, F.transform("_mentions", _parse))).drop("_mentions"))
+    df = df.withColumn("_names", F.array_distinct(F.flatten(F.transform("_parsed", _name_tokens))))
+    df = df.withColumn("_bare", F.when(F.size("_names") > 0, _bare_pattern(F.col("_names"))))
+
+    def pieces(gap: Column) -> Column:
+        bare = F.col("_bare")
+        return F.struct(
+            F.when(bare.isNull(), F.array(gap)).otherwise(F.split(gap, bare, -1)).alias("pieces"),
+            F.when(bare.isNull(), F.array().cast("array<string>")).otherwise(
+                F.regexp_extract_all(gap, bare, F.lit(0))).alias("words"))
+
+    return df.withColumn("_gaps", F.transform("_between", pieces)).drop("_between", "_bare")
+
+
+def _name_tokens(p: Column) -> Column:
+    """token, kind, form of a mention's tokens that are names on their own."""
+    tokens = F.transform(p["tokens"], lambda t, i: F.struct(
+        t.alias("token"), F.get(p["units"], i)["kind"].alias("kind"), F.get(p["units"], i)["form"].alias("form")))
+    return F.filter(tokens, lambda x: ((x["kind"] == "surname") | x["kind"].startswith("given_"))
+                    & ~x["form"].isin(NOT_NAMES))
+
+
+def _bare_pattern(names: Column) -> Column:
+    """A pattern of a document's name tokens (letters, apostrophes, hyphens), longest first."""
+    spelt = F.array_distinct(F.flatten(F.transform(names, lambda x: F.array(x["token"], F.upper(x["token"])))))
+    spelt = F.array_sort(spelt, lambda a, b: F.length(b) - F.length(a))
+    return F.concat(F.lit(_BEFORE + r"(?=\p{Lu})(?:"), F.array_join(spelt, "|"), F.lit(")" + _AFTER))
 
 
 def _sql(pattern: str) -> str:
@@ -272,7 +309,7 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with every mention in ``text`` replaced, plus ``n_entities``.
+    """``docs`` with every mention in ``text`` replaced, plus ``n_entities`` (mentions, bare names among them).
 
     All other columns are handed through unchanged. A null or empty text stays
     as it is, with no entities; repeated rows get the same replacements; an
@@ -303,15 +340,27 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         return F.when(F.col("_fix").isNull(), F.lit(0)).otherwise(
             F.coalesce(F.try_element_at("_fix", _entity_key(u["kind"], u["form"])), F.lit(0)))
 
+    def replaced(u: Column, token: Column) -> Column:
+        return _let(attempt(u), lambda n: _let(
+            _surrogate(key, u["kind"], u["form"], n), lambda s: _write(token, s, n)))
+
     def rewrite(p: Column) -> Column:
-        new = F.transform(p["units"], lambda u, i: _let(attempt(u), lambda n: _let(
-            _surrogate(key, u["kind"], u["form"], n), lambda s: _write(F.get(p["tokens"], i), s, n))))
+        new = F.transform(p["units"], lambda u, i: replaced(u, F.get(p["tokens"], i)))
         return F.concat(p["prefix"], F.array_join(new, " "))
 
+    def bare(word: Column) -> Column:
+        # a token of several kinds in one document: the first one's
+        same = F.filter("_names", lambda x: (x["token"] == word) | (F.upper(x["token"]) == word))
+        return _let(F.get(same, F.lit(0)), lambda u: replaced(u, word))
+
+    def between(g: Column) -> Column:
+        return F.array_join(F.transform(g["pieces"], lambda x, i: F.concat(
+            x, F.when(i < F.size(g["words"]), _let(F.get(g["words"], i), bare)).otherwise(""))), "")
+
     pieces = F.transform("_gaps", lambda g, i: F.concat(
-        g, F.when(i < F.size("_parsed"), _let(F.element_at("_parsed", i + 1), rewrite)).otherwise("")))
+        between(g), F.when(i < F.size("_parsed"), _let(F.element_at("_parsed", i + 1), rewrite)).otherwise("")))
     text = F.when(F.col("_parsed").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
-    count = F.coalesce(F.size("_parsed"), F.lit(0))
-    count = F.when(F.col("_parsed").isNull(), 0).otherwise(count).cast("long")
-    return found.select(*[F.col(f"in{k}") for k in range(len(rest))], text.alias("_text"), count.alias("_n")).toDF(
+    n = F.size("_parsed") + F.aggregate("_gaps", F.lit(0), lambda acc, g: acc + F.size(g["words"]))
+    n = F.when(F.col("_parsed").isNull(), 0).otherwise(n).cast("long")
+    return found.select(*[F.col(f"in{k}") for k in range(len(rest))], text.alias("_text"), n.alias("_n")).toDF(
         *rest, "text", "n_entities")

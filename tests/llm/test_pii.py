@@ -82,6 +82,21 @@ def test_formats_with_too_few_values(spark):
     assert all(len(x) == 4 and all(0 <= int(o) <= 255 for o in x) for x in numbers)
 
 
+def test_bare_names_of_the_same_document(spark):
+    texts = ["Mr. James Smith called. Smith left, James stayed; SMITH's car, Smithson, smith. Mr. Smith's hat",
+             "Smith left, James stayed.", "Dr. Li The other. The end, Li.",
+             "Frau Anna Smith-Jones. Smith-Jones saw Anna, a.b@x.org and Jones."]
+    out, n = run(spark, texts)
+    given, surname = re.match(r"Mr\. (\w+) (\w+) called", out[0]).groups()
+    assert out[0] == (f"Mr. {given} {surname} called. {surname} left, {given} stayed; {surname.upper()}'s car, "
+                      f"Smithson, smith. Mr. {surname}'s hat")
+    assert given != "James" and surname != "Smith" and n == [5, 0, 2, 4] and out[1] == texts[1]
+    li = re.match(r"Dr\. (\w+) ", out[2]).group(1)
+    assert li != "Li" and out[2].endswith(f" other. The end, {li}.")
+    anna, double = re.match(r"Frau (\w+) (\w+-\w+)\. ", out[3]).groups()
+    assert f". {double} saw {anna}, " in out[3] and out[3].endswith(" and Jones.") and "Smith" not in out[3]
+
+
 def test_clean_and_odd_texts_stay(spark):
     texts = [t for t in ODD_TEXTS] + ["Licensed under the Apache License, Version 2.0.", "MIT License 3.1 and CC BY-NC 4.0.",
                                       "on 2024-01-02 at 12:30, 1,000,000 times", "At At At Der Und The"]
