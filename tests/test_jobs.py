@@ -10,15 +10,15 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import canon
+from conftest import SF001, canon
 from runway.operators import dq
 from runway.operators import state as st
-from runway.plans import sinks
+from runway.plans import scenarios, sinks
 from runway.plans.gold import run_gold
 from runway.plans.incremental import gold_increment, silver_increment
 from runway.plans.silver import run_silver
 from runway.session import checkpoint_dir
-from runway.sources import landing, scans
+from runway.sources import fixtures, landing, scans
 from runway.streaming.silver_stream import silver_stream
 
 
@@ -39,6 +39,21 @@ def test_stream_keeps_every_file_of_a_month(spark, make_flights, tmp_dir):
     assert scans.read_flights(spark, f"{silver}/cleaned").count() == 21
 
 
+def test_stream_scenario_feeds_all_years(spark, monkeypatch):
+    roots = []
+    monkeypatch.setattr(scenarios, "silver_stream", lambda s, bronze, silver, **kw: roots.extend((bronze, silver)) or silver_stream(
+        s, bronze, silver, **kw))
+    rows = scenarios.stream_multi_file(spark, SF001).collect()
+    raw = fixtures.flights(spark, SF001).where("year IS NOT NULL AND month IS NOT NULL")
+    parts = raw.selectExpr("year", "month", "pmod(xxhash64(origin, dest), 2) AS part").distinct()
+    files = spark.read.parquet(roots[0]).selectExpr("year", "month", "input_file_name()").distinct()
+    assert files.count() == parts.count() > files.select("year", "month").distinct().count()
+    months = lambda df: canon(scenarios._per_month(df).collect())
+    want = months(fixtures.silver(spark, SF001))
+    assert months(scans.read_flights(spark, f"{roots[1]}/cleaned")) == want
+    assert canon(rows) == [r for r in want if r[0] == scenarios.YEAR]
+
+
 def test_reprocessed_month_loses_its_old_rows(spark, make_flights, tmp_dir):
     _, silver, gold_root, _ = folders(tmp_dir)
     run_silver(spark, make_flights([{"month": 4}, {"month": 5}, {"month": 5, "distance": None}]), silver)
