@@ -23,7 +23,7 @@ from runway.llm.common import crc_mod, small_batches
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 400  # labelled documents a language
-DOC_CHARS = 400  # characters that each of them gives to the dictionary
+DOC_CHARS = 400  # characters that each of them gives to the dictionary, at a place drawn by its id
 BLOCK = 1 << 16  # bytes of a text that are compressed at once, at most
 LEVEL = 3
 CLOSE = 0.05  # below this margin the finer level decides
@@ -58,8 +58,11 @@ def fit(docs: DataFrame, held_out_mod: int = 5, sample_docs: int = SAMPLE_DOCS)
         return {}
     draw = (F.xxhash64("doc_id") / F.lit(2.0 ** 64)) + F.lit(0.5)
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * sample_docs / n))])
+    # a place anywhere in the text: openings (licences, headers, quotations) are no sample of it
+    places = F.greatest(F.length("text") - DOC_CHARS + 1, F.lit(1))
+    at = (F.pmod(F.xxhash64("doc_id", F.lit("place")), places) + 1).cast("int")
     drawn = rows.where(draw < rate[F.col("lang")]).select(
-        "lang", draw.alias("draw"), "doc_id", F.substring("text", 1, DOC_CHARS).alias("text")).collect()
+        "lang", draw.alias("draw"), "doc_id", F.substring("text", at, F.lit(DOC_CHARS)).alias("text")).collect()
     samples = {}
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
         own = sorted((r["draw"], r["doc_id"], r["text"]) for r in drawn if r["lang"] == lang)[:sample_docs]

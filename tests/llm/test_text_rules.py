@@ -80,6 +80,16 @@ def test_language_ignores_held_out_labels(spark):
     assert "zz" not in langid.fit(wrong)
 
 
+def test_language_is_learned_behind_a_common_opening(spark):
+    # every text opens with the same licence, longer than what a text gives to the dictionary
+    opening = "\n".join(f"Licence clause {i}: {prose(i, 8)}" for i in range(8)) + "\n"
+    assert len(opening) > langid.DOC_CHARS
+    rows = [(i, opening + vowels(i, 300, LANGS[lang]), lang) for i, lang in enumerate(list(LANGS) * 40)]
+    df = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows], lang_docs(spark).schema)
+    got = langid.predict(df, langid.fit(df), keep=["lang"]).where("held_out").collect()
+    assert got and all(r["lang_pred"] == r["kept_lang"] and not r["rejected"] for r in got)
+
+
 def test_language_margin_does_not_fall_with_length(spark):
     tools = langid.Compressors(langid.fit(lang_docs(spark)))
     long = vowels(5, 800_000, LANGS["bb"])
