@@ -98,14 +98,16 @@ def _nearest(queries: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: np.n
 def valid(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding (doubles) of the vectors that take part: not null, not
     zero, without null or non-finite components, of the table's dimension
-    (that of its smallest valid id)."""
+    (that of most of them; at a tie, of the smallest id among those)."""
     df = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                         F.col("embedding").cast("array<double>").alias("embedding"))
     df = df.where("vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").where(
         ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))).where(
         F.exists("embedding", lambda x: x != 0))
-    first = df.agg(F.min_by(F.size("embedding"), "vec_id").alias("n")).first()["n"]
-    return df.where(F.size("embedding") == F.lit(first or 0))
+    sizes = df.groupBy(F.size("embedding").alias("n")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("vec_id").alias("id"))
+    most = sizes.orderBy(F.desc("rows"), "id", "n").first()
+    return df.where(F.size("embedding") == F.lit(most["n"] if most else 0))
 
 
 def fit(vectors: DataFrame, queries: DataFrame, k: int, seed: int = 11) -> Index | None:

@@ -48,6 +48,12 @@ def test_ties_few_candidates_and_invalid_vectors(spark):
         (0, 1, 3, 1.0), (0, 2, 7, 1.0), (0, 3, 50, 0.0), (50, 1, 0, 0.0), (50, 2, 3, 0.0), (50, 3, 7, 0.0)]
 
 
+def test_cut_vector_in_the_smallest_id(spark):
+    rows = [(0, [1.0]), (50, [1.0, 0.0]), (51, [2.0, 0.0]), (52, [0.0, 1.0])]
+    out = ann.nearest(table(spark, rows)).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in out) == [(50, 1, 51), (50, 2, 52)]
+
+
 def test_hot_vector_blocks_and_extra_columns(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_ROWS", 16)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", 2)
