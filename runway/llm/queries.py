@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, repeats, sql
+from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, repeats, sql, urls
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +56,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return urls.judge(pages, urls.outcomes(pages, labels)).drop("rate", "bound")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_repeated_strings, op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules, op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier)}
+    return {f.__name__: f for f in (
+        op1_repeated_strings, op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules,
+        op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier, op13_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": sql.OP2, "op6_quality_rules": sql.OP6, "op7_chat_rotation": sql.OP7}
+    return {"op2_near_duplicates": sql.OP2, "op6_quality_rules": sql.OP6, "op7_chat_rotation": sql.OP7, "op13_url_filters": sql.OP13}

@@ -83,3 +83,77 @@ lowest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+_SITE = r"regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '')"
+_LAST = r"(?:co\.uk|org\.uk|ac\.uk|com\.au|com\.br|co\.jp|co\.nz|co\.in|[^.]+)"
+_HOST = "translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _spread(children: str, parent: str) -> str:
+    """Prior strength of a level from the variance between and within its children."""
+    return f"""(
+  SELECT CASE WHEN g IS NULL OR g <= p OR n <= g OR total <= 0 THEN 10.0
+              ELSE 1 / least(greatest((b - w) / total, 1e-4), 0.9) - 1 END
+  FROM (SELECT *, b + ((n - n2) / (g - p) - 1) * w AS total
+    FROM (SELECT g, p, n, n2, ssb / nullif(g - p, 0) AS b, ssw / nullif(n - g, 0) AS w
+      FROM (SELECT count(*) AS g, count(DISTINCT c.{parent}) AS p, sum(c.n) AS n, sum(c.n::DOUBLE * c.n / q.n) AS n2,
+                   sum(c.n * pow(c.k / c.n - q.k / q.n, 2)) AS ssb, sum(c.k * (c.n - c.k) / c.n) AS ssw
+            FROM {children} c JOIN (SELECT {parent}, sum(n) AS n, sum(k) AS k FROM {children} GROUP BY ALL) q
+              ON c.{parent} = q.{parent} WHERE c.n > 0))))"""
+
+
+def _mass(start: str, end: str) -> str:
+    step = f"(({end}) - ({start})) / 100"
+    t = f"(({start}) + (i + 0.5) * {step})"
+    return f"""CASE WHEN ({end}) > ({start}) THEN {step} * list_sum(list_transform(range(0, 100), lambda i:
+      exp((2 * a - 1) * ln(sin({t})) + (2 * b - 1) * ln(cos({t})) - peak))) ELSE 0 END"""
+
+
+OP13 = rf"""
+WITH p AS (
+  SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+cut AS (
+  SELECT *, {_SITE} AS site, try_cast(regexp_extract(path, '/([0-9]+)(?:/|\.[A-Za-z]+)?$', 1) AS BIGINT) AS doc FROM p),
+placed AS (
+  SELECT *, CASE WHEN regexp_matches(site, '^[0-9.]+$') THEN site
+                 ELSE regexp_extract(site, '(?:^|\.)((?:[^.]+\.)?{_LAST})$', 1) END AS domain,
+         CASE WHEN regexp_matches(site, '^[0-9.]+$') THEN site
+              ELSE regexp_extract(site, '(?:^|\.)({_LAST})$', 1) END AS suffix FROM cut),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+sites AS (
+  SELECT site, domain, suffix, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS k
+  FROM placed LEFT JOIN marks ON doc = doc_id GROUP BY ALL),
+domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM sites GROUP BY ALL),
+ends AS (SELECT suffix, 0 AS everything, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM domains GROUP BY ALL),
+strengths AS (SELECT {_spread('sites', 'domain')} AS ms, {_spread('domains', 'suffix')} AS md, {_spread('ends', 'everything')} AS me,
+                     (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM ends) AS base),
+prior AS (
+  SELECT site, s.n, s.k, ms, (md * (me * base + e.k) / (me + e.n) + d.k) / (md + d.n) AS m
+  FROM sites s JOIN domains d USING (domain) JOIN ends e ON e.suffix = d.suffix CROSS JOIN strengths),
+beta AS (SELECT site, n, k, ms * m + k AS a, ms * (1 - m) + n - k AS b FROM prior),
+shape AS (
+  SELECT *, asin(sqrt(a / (a + b))) AS mid, 5 / sqrt(a + b) AS wide,
+         atan2(sqrt(greatest(2 * a - 1, 0.01)), sqrt(greatest(2 * b - 1, 0.01))) AS top FROM beta),
+edges AS (
+  SELECT *, greatest(0, mid - wide) AS lo, least(pi() / 2, mid + wide) AS hi,
+         (2 * a - 1) * ln(sin(top)) + (2 * b - 1) * ln(cos(top)) AS peak FROM shape),
+split AS (SELECT *, least(greatest(asin(sqrt(0.25)), lo), hi) AS edge FROM edges),
+masses AS (SELECT site, n, k, {_mass('edge', 'hi')} AS above, {_mass('lo', 'edge')} AS below FROM split),
+known AS (SELECT site, n, k, above / (above + below) AS bound FROM masses)
+SELECT page_id, host, path,
+       CASE WHEN host = 'www.example.com' OR host LIKE '%.www.example.com' THEN
+              CASE WHEN path LIKE '/en/%' THEN 'www.example.com/en/' WHEN path LIKE '/%' THEN 'com/' END
+            WHEN host = 'example.com' OR host LIKE '%.example.com' THEN
+              CASE WHEN path LIKE '/en/%' THEN 'example.com/en/' WHEN path LIKE '/%' THEN 'com/' END
+            WHEN host = 'com' OR host LIKE '%.com' THEN CASE WHEN path LIKE '/%' THEN 'com/' END
+            WHEN host = 'net' OR host LIKE '%.net' THEN
+              CASE WHEN path LIKE '/es/%' THEN 'net/es/' WHEN path LIKE '/fr/%' THEN 'net/fr/' END END AS rule,
+       CASE rule WHEN 'com/' THEN 'allow' WHEN 'example.com/en/' THEN 'block' WHEN 'www.example.com/en/' THEN 'allow'
+                 WHEN 'net/es/' THEN 'block' WHEN 'net/fr/' THEN 'block'
+                 ELSE CASE WHEN bound >= 0.95 THEN 'block' ELSE 'allow' END END AS verdict,
+       n AS n_labelled, k AS n_bad
+FROM placed JOIN known USING (site)
+"""
