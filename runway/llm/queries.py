@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, repeats, sql, urls
+from runway.llm import ann, bpe, cascade, chat, langid, near, packing, pii, quality, repeats, sql, urls, variants, whiten
 from runway.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     return urls.judge(pages, urls.outcomes(pages, labels)).drop("rate", "bound")
@@ -64,7 +73,7 @@ def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_repeated_strings, op2_near_duplicates, op3_nearest_neighbours, op4_language_id, op5_surrogates, op6_quality_rules,
-        op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier, op13_url_filters)}
+        op7_chat_rotation, op8_bpe_codec, op9_packing, op10_quality_classifier, op11_spelling_variants, op12_whitening, op13_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -129,7 +129,7 @@ sites AS (
 domains AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM sites GROUP BY ALL),
 ends AS (SELECT suffix, 0 AS everything, sum(n)::BIGINT AS n, sum(k)::BIGINT AS k FROM domains GROUP BY ALL),
 strengths AS (SELECT {_spread('sites', 'domain')} AS ms, {_spread('domains', 'suffix')} AS md, {_spread('ends', 'everything')} AS me,
-                     (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM ends) AS base),
+                     (SELECT (sum(k) + 0.125) / (sum(n) + 1) FROM ends) AS base),
 prior AS (
   SELECT site, s.n, s.k, ms, (md * (me * base + e.k) / (me + e.n) + d.k) / (md + d.n) AS m
   FROM sites s JOIN domains d USING (domain) JOIN ends e ON e.suffix = d.suffix CROSS JOIN strengths),

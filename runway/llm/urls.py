@@ -147,7 +147,7 @@ def reputation(pages: DataFrame, labelled: DataFrame, limit: float = LIMIT, suff
     ends = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("everything", F.lit(0))
     m_site, m_domain, m_suffix = (strength(_correlation(t, p)) for t, p in ((sites, "domain"), (domains, "suffix"), (ends, "everything")))
     whole = ends.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
-    base = (whole.k + 0.5) / (whole.n + 1)
+    base = (whole.k + limit / 2) / (whole.n + 1)  # one observation, half the limit, stands in for missing labels
 
     def shrunk(prior: Column, m: float) -> Column:
         return (m * prior + F.col("k")) / (m + F.col("n"))

@@ -50,7 +50,7 @@ def plain(sites, limit):
     ms = strength({d: [(n, k) for e, _, n, k in sites.values() if e == d] for d, *_ in sites.values()})
     md = strength({s: [x for (_, t), x in domains.items() if t == s] for s in ends})
     me = strength({0: list(ends.values())})
-    base = (sum(k for _, k in ends.values()) + 0.5) / (sum(n for n, _ in ends.values()) + 1)
+    base = (sum(k for _, k in ends.values()) + limit / 2) / (sum(n for n, _ in ends.values()) + 1)
     out = {}
     for site, (d, s, n, k) in sites.items():
         es = (me * base + ends[s][1]) / (me + ends[s][0])
@@ -94,17 +94,17 @@ def test_hosts_paths_rules_and_verdicts(spark):
         "http://a.www.example.com/en/#t": ("a.www.example.com", "/en/", "www.example.com/en/"),
         "http://badexample.com/en/": ("badexample.com", "/en/", "com/"), "http://x.net/es/1?u=://b.com/": ("x.net", "/es/1", "net/es/"),
         "http://x.net/fr": ("x.net", "/fr", None), "http://ÄB.net#/fr/": ("Äb.net", "", None), "a://b://c.net/fr/": ("b:", "//c.net/fr/", None),
-        "http://h.org?a/b": ("h.org", "", None), "http://evil.org/" + "z" * 20000: ("evil.org", "/" + "z" * 20000, None)}
-    pages = spark.createDataFrame([*enumerate(cases), (None, "http://evil.org/a"), (0, "http://evil.org/a")], PAGES).withColumns(
+        "http://h.org?a/b": ("h.org", "", None), "http://evil.biz/" + "z" * 20000: ("evil.biz", "/" + "z" * 20000, None)}
+    pages = spark.createDataFrame([*enumerate(cases), (None, "http://evil.biz/a"), (0, "http://evil.biz/a")], PAGES).withColumns(
         {c: F.lit(1) for c in ("site", "n", "k", "rule", "host", "bad", "prior", "html")})
-    labelled = spark.createDataFrame([(f"http://evil.org/{i}", True) for i in range(60)] + [(f"http://x.net/{i}", False) for i in range(600)], LABELLED)
+    labelled = spark.createDataFrame([(f"http://evil.biz/{i}", True) for i in range(60)] + [(f"http://x.net/{i}", False) for i in range(600)], LABELLED)
     rows = urls.judge(pages, labelled).collect()
     assert len(rows) == len(cases) + 2
     by = {r["page_id"]: r for r in rows if r["path"] != "/a"}
     for i, (url, (host, path, rule)) in enumerate(cases.items()):
         assert (by[i]["host"], by[i]["path"], by[i]["rule"]) == (host, path, rule), url
         said = {None: None, "com/": "allow", "www.example.com/en/": "allow"}.get(rule, "block")
-        assert by[i]["verdict"] == (said or ("block" if host == "evil.org" else "allow")), url
+        assert by[i]["verdict"] == (said or ("block" if host == "evil.biz" else "allow")), url
     assert [r["verdict"] for r in rows if r["path"] == "/a"] == ["block", "block"]
     none = urls.judge(pages.limit(0), labelled)
     assert none.count() == 0
