@@ -42,8 +42,7 @@ from runway.operators import state as st
 from runway.plans.gold import recompute_trend, run_gold
 from runway.plans.silver import run_silver
 from runway.plans.sinks import stored_units
-from runway.sources.scans import read_flights
-from runway.sources.schema import FLIGHTS_SCHEMA, conform
+from runway.sources.scans import of_months, read_flights, readable_flights
 
 log = logging.getLogger(__name__)
 
@@ -112,11 +111,6 @@ def silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, co
     Attempts, marks and status are stored before a total failure raises.
     """
     base = _month(baseline)
-    try:
-        bronze = read_flights(spark, bronze_root, fmt)
-    except Exception as e:  # noqa: BLE001  the file that was asked for its schema is broken: declare it instead
-        log.warning("schema of %s not readable: %s", bronze_root, e)
-        bronze = conform(spark.read.schema(FLIGHTS_SCHEMA).option("basePath", bronze_root).format(fmt).load(bronze_root))
     ym = S.first_of_month()
     # the folder names tell the latest month; no file is opened for it
     months = [(int(u["year"]), int(u["month"])) for u in stored_units(spark, bronze_root)
@@ -147,13 +141,15 @@ def silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, co
 
     to_run = [(r["month"].year, r["month"].month) for r in
               plan.where(F.col("step") == "run").select("month").distinct().collect()]  # the run's units
+    # only these months' files are opened; a month with a file that cannot be read fails alone
+    bronze, unreadable = readable_flights(spark, bronze_root, fmt, keep=of_months(to_run))
     produced: list[dict] = []
 
     def silver(units: list) -> None:
         """One job for all units."""
         produced.extend(run_silver(spark, bronze.where(_in_months(units)), silver_root).units)
 
-    broken = isolate(silver, to_run)
+    broken = isolate(silver, [u for u in to_run if u not in unreadable]) | unreadable
     done_now = {(u["year"], u["month"]) for u in produced}
     results = [(dt.date(y, m, 1), st.FAILED if (y, m) in broken else st.SUCCESS if (y, m) in done_now else st.MISSING)
                for y, m in to_run]

@@ -13,12 +13,13 @@ from runway.functions import scalars as S
 from runway.operators import dq, gold, state
 from runway.plans.gold import recompute_trend, run_gold
 from runway.plans.incremental import gold_increment, silver_increment
-from runway.plans.silver import run_silver
-from runway.plans.sinks import write_partitioned
+from runway.plans.silver import KEYS, run_silver
+from runway.plans.sinks import prepare, replace_units, settle, write_partitioned, write_text
 from runway.session import checkpoint_dir
 from runway.sources import fixtures as fx
-from runway.sources.scans import read_flights, read_table
-from runway.sources.schema import FLIGHTS_COLUMNS
+from runway.sources.landing import landing_outcomes, read_landing
+from runway.sources.scans import read_flights, read_table, scan_month
+from runway.sources.schema import FLIGHTS_COLUMNS, FLIGHTS_SCHEMA, GUARDED_COLUMNS
 from runway.streaming.silver_stream import silver_stream
 
 YEAR = 1998  # the year that scenarios build anew (a parameter)
@@ -76,7 +77,7 @@ def silver_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_silver(spark, raw, root)
     again = raw.where(F.col("year") == YEAR).withColumn("distance", F.lit(None).cast("double"))
     run_silver(spark, again, root)
-    return _per_month(read_table(spark, f"{root}/cleaned"))
+    return _per_month(read_table(spark, f"{root}/cleaned", partition_cols=KEYS))
 
 
 def gold_rebuild_year(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,22 +91,110 @@ def gold_rebuild_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy(F.col("year").cast("int").alias("year")).agg(F.sum("cancelled_flights").cast("bigint").alias("cancelled"))
 
 
-def stream_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows a month when each month's raw rows come as several files, and a
-    micro-batch holds only some of them."""
+def stream_all_months(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Bronze and Silver folders of a stream over every month, a NULL month included,
+    when a month's raw rows come as several files and a micro-batch holds only some."""
     bronze, silver = _folder(spark, "bronze"), _folder(spark, "stream-silver")
-    raw = _dated(fx.flights(spark, sf_dir))
+    raw = fx.flights(spark, sf_dir)
     for part in range(2):
         # a file a month and part, the months dealt over the tasks
         (raw.where(F.pmod(F.xxhash64("origin", "dest"), F.lit(2)) == part).repartition("year", "month")
          .write.mode("append").partitionBy("year", "month").parquet(bronze))
-    silver_stream(spark, bronze, silver, checkpoint=_folder(spark, "stream"), max_files_per_trigger=8).awaitTermination()
-    return _per_month(read_table(spark, f"{silver}/cleaned"))
+    silver_stream(spark, bronze, silver, checkpoint=_folder(spark, "stream"), max_files_per_trigger=64).awaitTermination()
+    return bronze, silver
 
 
 def stream_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All years go through the stream; the result is the year that the query's SQL names."""
-    return stream_all_months(spark, sf_dir).where(F.col("year") == YEAR)
+    """Clean rows a month after the stream."""
+    _, silver = stream_all_months(spark, sf_dir)
+    return _per_month(read_table(spark, f"{silver}/cleaned", partition_cols=KEYS))
+
+
+def parquet_mixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Parquet layout whose months differ: without the ten guarded columns up to April,
+    whole up to August, then with one column more; November's distances are integers."""
+    root = _folder(spark, "mixed")
+    raw = _dated(fx.flights(spark, sf_dir))
+    write_partitioned(raw.where("month <= 4").drop(*[c for c, _ in GUARDED_COLUMNS]), root)
+    write_partitioned(raw.where("month BETWEEN 5 AND 8"), root)
+    more = raw.where("month > 8").withColumn("Remark", F.concat("origin", F.lit(">"), "dest"))
+    write_partitioned(more.where("month <> 11"), root)
+    write_partitioned(more.where("month = 11").withColumn("distance", F.col("distance").cast("int")).withColumnRenamed("origin", "ORIGIN"), root)
+    return read_flights(spark, root).select(*FLIGHTS_COLUMNS, "remark")
+
+
+def scan_month_csv(spark: SparkSession, sf_dir: str, month: int) -> DataFrame:
+    """One month of a CSV layout."""
+    return scan_month(spark, fx.bronze_root(spark, sf_dir, "csv"), YEAR, month, "csv").select(*FLIGHTS_COLUMNS)
+
+
+def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights from monthly archives with two orders of columns."""
+    root = _folder(spark, "landing")
+    fx.write_flight_archives(_dated(fx.flights(spark, sf_dir)), root)
+    return read_landing(spark, root).select(*FLIGHTS_COLUMNS)
+
+
+def landing_archive_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of one archive a nation: broken ones, some without a CSV, small and large ones."""
+    root = _folder(spark, "archives")
+    fx.write_nation_archives(fx.table(spark, sf_dir, "nation"), fx.table(spark, sf_dir, "customer"), root)
+    out = landing_outcomes(spark, root)
+    return out.select(F.regexp_extract("path", r"nation-(\d+)\.zip$", 1).cast("int").alias("nation"), "csv_bytes", "error", "outcome")
+
+
+def increment_broken_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes and clean rows of an increment over CSV files, one of which is a broken
+    archive and others of which order their columns differently."""
+    bronze, silver, control = (_folder(spark, f"broken-{x}") for x in ("bronze", "silver", "control"))
+    raw = _dated(fx.flights(spark, sf_dir)).where("month <= 12")
+    write_partitioned(raw.where("month > 2"), bronze, fmt="csv")
+    write_partitioned(raw.where("month <= 2").select(*reversed(FLIGHTS_COLUMNS)), bronze, fmt="csv")
+    write_text(spark, f"{bronze}/year={YEAR}/month=3/part-9.csv.gz", "no gzip stream")
+    first = raw.agg(F.min(S.first_of_month())).first()[0]
+    res = silver_increment(spark, bronze, silver, control, baseline=first.strftime("%Y-%m"), fmt="csv")
+    clean = read_table(spark, f"{silver}/cleaned", schema=FLIGHTS_SCHEMA, partition_cols=KEYS)
+    n = clean.groupBy(S.first_of_month().alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return res["outcomes"].join(n, "month", "left").select("month", "outcome", F.coalesce("n", F.lit(0)).cast("bigint").alias("clean_rows"))
+
+
+def silver_all_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first delivery without one clean row: outcome and stored rows a month."""
+    bronze, silver, control = (_folder(spark, f"rejected-{x}") for x in ("bronze", "silver", "control"))
+    raw = _dated(fx.flights(spark, sf_dir)).where("month <= 12")
+    write_partitioned(raw.withColumn("distance", F.lit(None).cast("double")), bronze)
+    first = raw.agg(F.min(S.first_of_month())).first()[0]
+    res = silver_increment(spark, bronze, silver, control, baseline=first.strftime("%Y-%m"))
+    stored = [read_table(spark, f"{silver}/{t}", partition_cols=KEYS).select(
+        S.first_of_month().alias("month"), F.lit(int(t == "cleaned")).alias("clean")) for t in ("cleaned", "rejected")]
+    n = stored[0].unionAll(stored[1]).groupBy("month").agg(
+        F.sum("clean").cast("bigint").alias("clean_rows"), F.sum(1 - F.col("clean")).cast("bigint").alias("rejected_rows"))
+    return res["outcomes"].join(n, "month", "left").select("month", "outcome", "clean_rows", "rejected_rows")
+
+
+def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows a month as readers find them when a job that replaces a year stopped
+    after its decision and before anything was moved (step 1), when it stopped halfway
+    through the months (2), and after the next job has completed it (3)."""
+    root = f"{_folder(spark, 'replay')}/cleaned"
+    silver = fx.silver(spark, sf_dir)
+    months = [{"year": r.year, "month": r.month} for r in silver.select(*KEYS).distinct().collect()]
+    replace_units(silver, root, months)
+    # of the year delivered anew, half a year is left, without cancellations
+    again = silver.where((F.col("year") == YEAR) & (F.col("month") <= 6) & (F.col("cancelled") == 0))
+    prepare(again, root, [u for u in months if u["year"] == YEAR])
+    steps = []
+
+    def found() -> None:
+        rows = _per_month(read_table(spark, root, partition_cols=KEYS))
+        steps.append(rows.withColumn("step", F.lit(len(steps) + 1)).checkpoint(eager=True))
+
+    found()
+    settle(spark, root, at_most=5)
+    found()
+    settle(spark, root)
+    found()
+    return steps[0].unionAll(steps[1]).unionAll(steps[2])
 
 
 def _incremented(spark: SparkSession, sf_dir: str) -> tuple[str, str, dict, dict]:

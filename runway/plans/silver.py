@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from runway.functions.measures import pct
 from runway.operators import dq
-from runway.plans.sinks import path_exists, replace_units, write_partitioned
+from runway.plans.sinks import replace_units, write_partitioned
+from runway.sources.scans import read_table
 
 KEYS = ("year", "month")
 
@@ -39,7 +40,7 @@ class SilverResult:
     units: list[dict]
 
 
-def _of(rows: DataFrame, units: DataFrame, keys) -> DataFrame:
+def of_units(rows: DataFrame, units: DataFrame, keys) -> DataFrame:
     """Rows of the given units; a NULL year or month is a unit too."""
     mine = units.select(*[F.col(k).alias(f"_{k}") for k in keys])
     return rows.join(mine, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
@@ -58,12 +59,9 @@ def run_silver(spark: SparkSession, raw: DataFrame, out_root: str, rules=None, k
     replace_units(dq.rejected(flagged), rej_path, units, keys, fmt)
     schema = ", ".join([f"{k} {raw.schema[k].dataType.simpleString()}" for k in keys] + ["rows bigint", "rejected bigint"])
     per = spark.createDataFrame([tuple(r) for r in totals], schema)
-    if units and path_exists(spark, clean_path):
-        stored = spark.read.format(fmt).option("header", True).load(clean_path)
-        stored = stored.select(*[F.col(k).cast(raw.schema[k].dataType).alias(k) for k in keys])
-        clean = _of(stored, per, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("clean"))
-    else:
-        clean = per.select(*keys, F.lit(0).cast("bigint").alias("clean")).where("false")
+    # a table without any clean row is empty, not missing
+    stored = read_table(spark, clean_path, fmt, raw.schema, keys).select(*keys)
+    clean = of_units(stored, per, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("clean"))
     n, rejected, kept = F.col("rows"), F.col("rejected"), F.coalesce(F.col("clean"), F.lit(0))
     same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
     metrics = per.alias("p").join(clean.alias("c"), reduce(and_, same), "left").select(
@@ -74,5 +72,5 @@ def run_silver(spark: SparkSession, raw: DataFrame, out_root: str, rules=None, k
         write_partitioned(metrics, met_path, keys, "parquet")
         # what later steps read is the stored table, not the job again
         stored = spark.read.schema(metrics.schema).parquet(met_path)
-        metrics = _of(stored, per, keys).select(*metrics.columns)
+        metrics = of_units(stored, per, keys).select(*metrics.columns)
     return SilverResult(clean_path, rej_path, met_path, metrics, dq.breakdown(raw, rules, keys=keys), units)

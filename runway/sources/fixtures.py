@@ -345,3 +345,96 @@ def bronze_root(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
             write_partitioned(raw, root, ("year", "month"), fmt)
         _CACHE[k] = root
     return _CACHE[k]
+
+
+# ------------------------------------------------------------ landing archives
+
+def _zip_writer(root: str, name, header, row, member):
+    """A task's function that writes one archive for each run of equal keys in its rows."""
+    def write(batches):
+        import csv
+        import io
+        import zipfile
+
+        from pyarrow import fs as pafs
+
+        from runway.sources.landing import uri
+
+        system, folder = pafs.FileSystem.from_uri(uri(root))
+        system.create_dir(folder, recursive=True)
+        key = archive = lines = None
+        done = []
+
+        def close():
+            if archive is not None:
+                lines.flush()
+                lines.detach().close()
+                archive.close()
+
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                if (own := name(r)) != key:
+                    close()
+                    key = own
+                    archive = zipfile.ZipFile(system.open_output_stream(f"{folder}/{key}.zip"), "w", zipfile.ZIP_DEFLATED)
+                    lines = io.TextIOWrapper(archive.open(member(r), "w", force_zip64=True), "utf-8", newline="")
+                    out = csv.writer(lines, lineterminator="\n")
+                    out.writerow(header(r))
+                    done.append(key)
+                out.writerow(row(r))
+        close()
+        import pandas as pd
+        yield pd.DataFrame({"archive": done})
+
+    return write
+
+
+def write_flight_archives(raw: DataFrame, root: str) -> None:
+    """A zip archive a month with the flights as CSV, written by tasks. Months of even
+    number hold the columns in reverse, in upper case, and one more."""
+    import pandas as pd
+
+    cols = raw.columns
+
+    def even(r):
+        return int(r["month"]) % 2 == 0
+
+    def text(v):
+        return "" if v is None or v is pd.NaT or v != v else str(v)
+
+    dealt = raw.select(*[F.col(c).cast("string").alias(c) for c in cols]).repartition("year", "month").sortWithinPartitions("year", "month")
+    dealt.mapInPandas(_zip_writer(
+        root, lambda r: f"flights-{r['year']}-{r['month']}", lambda r: ["REMARK", *[c.upper() for c in reversed(cols)]] if even(r) else cols,
+        lambda r: ["x, y", *[text(r[c]) for c in reversed(cols)]] if even(r) else [text(r[c]) for c in cols],
+        lambda r: "On_Time.CSV" if even(r) else "on_time.csv"), "archive string").write.format("noop").mode("overwrite").save()
+
+
+def write_nation_archives(nation: DataFrame, customer: DataFrame, root: str) -> None:
+    """An archive a nation with its customers' names. Of the nation's number
+    modulo 4, 0 is cut in two (corrupt), 1 has no CSV member, 2 and 3 are whole."""
+    rows = nation.join(customer, nation.n_nationkey == customer.c_nationkey, "left")
+    # at most a nation's customers, in a table of 25 nations
+    named = rows.groupBy("n_nationkey").agg(F.sort_array(F.collect_list("c_name")).alias("names"))
+
+    def write(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        from runway.sources.landing import uri
+
+        system, folder = pafs.FileSystem.from_uri(uri(root))
+        system.create_dir(folder, recursive=True)
+        for pdf in batches:
+            for key, names in zip(pdf["n_nationkey"].tolist(), pdf["names"]):
+                made = io.BytesIO()
+                with zipfile.ZipFile(made, "w", zipfile.ZIP_STORED) as z:
+                    z.writestr("notes.txt" if key % 4 == 1 else "customers.csv", "c_name\n" + "".join(f"{n}\n" for n in names))
+                content = made.getvalue()
+                with system.open_output_stream(f"{folder}/nation-{key}.zip") as out:
+                    out.write(content[:len(content) // 2] if key % 4 == 0 else content)
+            yield pd.DataFrame({"archive": [str(k) for k in pdf["n_nationkey"]]})
+
+    named.mapInPandas(write, "archive string").write.format("noop").mode("overwrite").save()

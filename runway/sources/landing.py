@@ -1,23 +1,34 @@
 """Zipped landing: monthly archives → flight rows, as one Spark job.
 
-``binaryFile`` lists the archives as rows; ``mapInPandas`` opens each archive
-from its bytes, streams its first ``.csv`` member (case-insensitive) through
-the csv module (quoted commas and line breaks are data) and emits chunks of
-bounded size: each row carries its archive's own header, so archives may order
-their columns differently. Spark then picks every schema column by name and
-casts it. Sizes come from the zip directory: checking them extracts nothing.
+Archives are a data source of their own (``zipped_csv``, Spark's Python data
+source API): one partition per archive, whose first ``.csv`` member
+(case-insensitive) is streamed from an open handle, so a task holds one chunk of
+rows whatever the archive's size. Quoted commas and line breaks are data. Each
+row carries its archive's own header, so archives may order their columns
+differently; Spark then picks every schema column by name and casts it. Sizes
+come from the zip directory at the archive's end: checking them extracts nothing.
 Text that is no UTF-8 is replaced and counted (``bad_chars``).
+
+The handle comes from pyarrow's file systems (local, HDFS and object stores).
+Where the store is known to Spark only, an archive arrives as a ``binaryFile`` row
+instead, which holds it in memory (2 GB at most).
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import json
+import re
 import zipfile
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from runway.operators.state import MIN_FILE_SIZE
 from runway.sources.schema import FLIGHTS_SCHEMA, conform
@@ -25,12 +36,27 @@ from runway.sources.schema import FLIGHTS_SCHEMA, conform
 CHUNK_ROWS = 2000  # CSV rows a task holds at once
 ROW_SCHEMA = "path string, row_no long, names array<string>, fields array<string>, bad_chars long"
 SIZE_SCHEMA = "path string, csv_bytes long, error string"
+ROWS, SIZES = "rows", "sizes"
+
+
+def uri(path: str) -> str:
+    """A Hadoop path as the URI that pyarrow takes."""
+    scheme, rest = re.match(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)$", path, re.S).groups()
+    if scheme in (None, "file"):
+        return "file://" + quote(re.sub(r"^//", "", rest) if rest.startswith("///") else rest)
+    return f"{scheme}:{quote(rest)}"
+
 
+def open_file(path: str):
+    """A seekable handle; nothing is read yet."""
+    system, where = pafs.FileSystem.from_uri(uri(path))
+    return system.open_input_file(where)
 
-def _member(content: bytes) -> tuple[zipfile.ZipFile | None, zipfile.ZipInfo | None, str | None]:
+
+def _member(handle) -> tuple[zipfile.ZipFile | None, zipfile.ZipInfo | None, str | None]:
     """An archive's first CSV member, or what is wrong with it."""
     try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
+        archive = zipfile.ZipFile(handle)
     except zipfile.BadZipFile:
         return None, None, "corrupt"
     for info in archive.infolist():
@@ -39,40 +65,102 @@ def _member(content: bytes) -> tuple[zipfile.ZipFile | None, zipfile.ZipInfo | N
     return archive, None, "no_csv"
 
 
-def _sizes(batches):
-    for pdf in batches:
-        rows = [(path, *(lambda m: (m[1].file_size if m[1] else 0, m[2]))(_member(content)))
-                for path, content in zip(pdf["path"], pdf["content"])]
-        yield pd.DataFrame(rows, columns=["path", "csv_bytes", "error"])
+def _size(path: str, handle) -> tuple[str, int, str | None]:
+    _, info, error = _member(handle)
+    return path, info.file_size if info else 0, error
 
 
-def _rows(batches):
-    """CSV rows of each archive, a chunk at a time, with the archive's header."""
-    columns = ["path", "row_no", "names", "fields", "bad_chars"]
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            archive, info, error = _member(content)
-            if error:
+def _rows(path: str, handle):
+    """CSV rows of an archive, a chunk at a time, with its header."""
+    archive, info, error = _member(handle)
+    if error:
+        return
+    with archive.open(info) as raw:
+        lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline=""))
+        names = [c.strip().lower() for c in next(lines, [])]
+        chunk = []
+        for n, fields in enumerate(lines, 1):
+            if not fields:
                 continue
-            with archive.open(info) as raw:
-                lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline=""))
-                names = [c.strip().lower() for c in next(lines, [])]
+            bad = sum(f.count("\ufffd") for f in fields)
+            chunk.append((path, n, names, [f if f != "" else None for f in fields], bad))
+            if len(chunk) >= CHUNK_ROWS:
+                yield chunk
                 chunk = []
-                for n, fields in enumerate(lines, 1):
-                    if not fields:
-                        continue
-                    bad = sum(f.count("\ufffd") for f in fields)
-                    chunk.append((path, n, names, [f if f != "" else None for f in fields], bad))
-                    if len(chunk) >= CHUNK_ROWS:
-                        yield pd.DataFrame(chunk, columns=columns)
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame(chunk, columns=columns)
-
-
-def _archives(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).load(root))
+        if chunk:
+            yield chunk
+
+
+_ARROW = {ROWS: pa.schema([("path", pa.string()), ("row_no", pa.int64()), ("names", pa.list_(pa.string())),
+                           ("fields", pa.list_(pa.string())), ("bad_chars", pa.int64())]),
+          SIZES: pa.schema([("path", pa.string()), ("csv_bytes", pa.int64()), ("error", pa.string())])}
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+class ZippedCsv(DataSource):
+    """``spark.read.format("zipped_csv")``. Options: ``archives`` (a JSON list of paths) and
+    ``what``: ``rows`` of the first CSV member, or ``sizes`` from the directories."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipped_csv"
+
+    def schema(self) -> str:
+        return ROW_SCHEMA if self.options.get("what", ROWS) == ROWS else SIZE_SCHEMA
+
+    def reader(self, schema) -> DataSourceReader:
+        return _Archives(json.loads(self.options["archives"]), self.options.get("what", ROWS))
+
+
+class _Archives(DataSourceReader):
+    def __init__(self, paths: list[str], what: str):
+        self.paths, self.what = paths, what
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(p) for p in self.paths]
+
+    def read(self, partition: InputPartition):
+        path, schema = partition.value, _ARROW[self.what]
+        with open_file(path) as handle:
+            if self.what == SIZES:
+                yield _batch([_size(path, handle)], schema)
+            else:
+                for chunk in _rows(path, handle):
+                    yield _batch(chunk, schema)
+
+
+def _opened(path: str) -> bool:
+    try:
+        open_file(path).close()
+        return True
+    except (OSError, pa.ArrowException):
+        return False
+
+
+def _read(spark: SparkSession, root: str, glob: str, what: str) -> DataFrame:
+    paths = [r.path for r in archive_inventory(spark, root, glob).select("path").orderBy("path").collect()]  # a row an archive
+    if not paths:
+        return spark.createDataFrame([], ROW_SCHEMA if what == ROWS else SIZE_SCHEMA)
+    if not _opened(paths[0]):
+        return _through_spark(spark, root, glob, what)
+    spark.dataSource.register(ZippedCsv)
+    return spark.read.format("zipped_csv").option("archives", json.dumps(paths)).option("what", what).load()
+
+
+def _through_spark(spark: SparkSession, root: str, glob: str, what: str) -> DataFrame:
+    """The same from archives that only Spark can read, each in memory."""
+    def run(batches):
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                handle = io.BytesIO(content)
+                for rows in ([[_size(path, handle)]] if what == SIZES else _rows(path, handle)):
+                    yield pd.DataFrame(rows, columns=_ARROW[what].names)
+
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root))
+    return files.select("path", "content").mapInPandas(run, ROW_SCHEMA if what == ROWS else SIZE_SCHEMA)
 
 
 def archive_inventory(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -83,14 +171,13 @@ def archive_inventory(spark: SparkSession, root: str, glob: str = "*.zip") -> Da
 
 def archive_rows(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     """SRC-06: the CSV rows of each archive's first CSV member with its header's names."""
-    return _archives(spark, root, glob).select("path", "content").mapInPandas(_rows, ROW_SCHEMA)
+    return _read(spark, root, glob, ROWS)
 
 
 def landing_outcomes(spark: SparkSession, root: str, min_size: int = MIN_FILE_SIZE, glob: str = "*.zip") -> DataFrame:
     """SRC-07 per archive: ``missing`` when the archive or its CSV is below the minimum, or
     the archive is corrupt / has no CSV; else ``success``."""
-    sizes = _archives(spark, root, glob).select("path", "content").mapInPandas(_sizes, SIZE_SCHEMA)
-    j = archive_inventory(spark, root, glob).join(sizes, "path", "left")
+    j = archive_inventory(spark, root, glob).join(_read(spark, root, glob, SIZES), "path", "left")
     outcome = (F.when(F.col("length") < min_size, "missing")
                .when(F.col("error").isNotNull(), "missing")
                .when(F.col("csv_bytes") < min_size, "missing")

@@ -1,108 +1,108 @@
 """Partitioned scans of the flights layout ``<root>/year=YYYY/month=M/``.
 
-CSV columns are matched by the names in each file's own header (any order, any
-case, extra columns), then conformed to ``FLIGHTS_SCHEMA`` (no inference job, no
-type drift between months); Parquet carries its own types and is conformed to
-the schema. ``year``/``month`` come from partition discovery, so the
-month and year filters below prune directories before any file is opened
-(``PartitionFilters`` in the plan), and column pruning reaches the reader.
+Every scan resolves the files it needs first (``layout``): folders are pruned by
+year and month before anything in them is opened, columns are matched by the
+names in each file's own header or footer (any order, any case, columns that
+some months lack or have more), and files of one schema are read together. The
+result is conformed to the declared schema: no inference job, no type drift.
+Column pruning and further filters reach the reader.
 """
 
 from __future__ import annotations
 
-import csv
-from concurrent.futures import ThreadPoolExecutor
+import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runway.plans.sinks import CSV_NULL
+from runway.plans.sinks import CSV_NULL, stored_schema
+from runway.sources.layout import Layout, load, resolve
 from runway.sources.schema import FLIGHTS_SCHEMA, conform
 
 PARTITION_COLS = ("year", "month")
-# stands for a quoted empty field while reading, which is a string and no NULL
-_QUOTED_EMPTY = "\x01"
-
-
-def _headers(spark: SparkSession, root: str) -> dict[tuple[str, ...], list[str]]:
-    """Files of a CSV layout by header. One line of each file is read, by the
-    driver and many at a time, as a Parquet scan reads its footers."""
-    jvm = spark.sparkContext._jvm
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.csv*").load(root).select("path", "length").where("length > 0")
-
-    def header(path: str) -> tuple[str, ...]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
-        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        try:
-            return tuple(c.strip() for c in next(csv.reader([(lines.readLine() or "").lstrip("\ufeff")])))
-        finally:
-            lines.close()
-
-    files = [r["path"] for r in paths.collect()]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for path, names in zip(files, pool.map(header, files)):
-            groups.setdefault(names, []).append(path)
-    return groups
-
-
-def read_csv_by_name(spark: SparkSession, root: str, null_value: str = CSV_NULL) -> DataFrame:
-    """A headered CSV layout as text columns: files with one header are read
-    together, the groups are joined by column name (lower case)."""
-    out = None
-    for names, files in sorted(_headers(spark, root).items()):
-        text = T.StructType([T.StructField(c.lower(), T.StringType()) for c in names])
-        part = (spark.read.schema(text).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE")
-                .option("nullValue", null_value).option("emptyValue", _QUOTED_EMPTY).option("basePath", root).csv(files))
-        part = part.withColumns({f.name: F.when(F.col(f.name) != _QUOTED_EMPTY, F.col(f.name)).when(
-            F.col(f.name).isNotNull(), F.lit("")) for f in text.fields})
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], FLIGHTS_SCHEMA)
+
+
+def _int(value: str | None) -> int | None:
+    return int(value) if value is not None and value.lstrip("-").isdigit() else None
+
+
+def of_months(months) -> Callable[[dict], bool]:
+    """Folder filter of a set of (year, month); a NULL year or month is None."""
+    wanted = set(months)
+    return lambda u: tuple(_int(u[c]) for c in PARTITION_COLS) in wanted
+
+
+class UnreadableFiles(OSError):
+    """Files of a scan whose header or footer cannot be read."""
+
+
+def _loaded(spark: SparkSession, layout: Layout, schema, null_value: str) -> DataFrame:
+    df = load(spark, layout, schema, null_value)
+    return conform(df, schema) if df is not None else spark.createDataFrame([], schema)
+
+
+def readable_flights(spark: SparkSession, root: str, fmt: str = "parquet", schema=FLIGHTS_SCHEMA,
+                     null_value: str = CSV_NULL, keep=None) -> tuple[DataFrame, set[tuple]]:
+    """The flights of every file that can be read, and the (year, month) of those that cannot."""
+    layout = resolve(spark, root, fmt, PARTITION_COLS, keep, store=True)
+    broken = {tuple(_int(u[c]) for c in PARTITION_COLS) for u in layout.broken_units()}
+    return _loaded(spark, layout, schema, null_value), broken
 
 
 def read_flights(spark: SparkSession, root: str, fmt: str = "parquet", schema=FLIGHTS_SCHEMA,
-                 null_value: str = CSV_NULL) -> DataFrame:
-    """SRC-01: the whole partitioned flights layout, columns by name, typed by the schema.
+                 null_value: str = CSV_NULL, keep=None) -> DataFrame:
+    """SRC-01: the partitioned flights layout, columns by name, typed by the schema.
 
+    ``keep`` decides on a folder by its partition values (text; None for NULL).
     CSV: ``null_value`` is the NULL token. With the default, which layouts
     written here use too, an empty field is NULL and a quoted empty one is an
-    empty string.
+    empty string. A file whose header or footer cannot be read raises.
     """
-    if fmt == "csv":
-        df = read_csv_by_name(spark, root, null_value)
-    elif fmt == "parquet":
-        df = spark.read.option("basePath", root).parquet(root)
-    else:
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported format {fmt!r}")
-    return conform(df, schema)
+    layout = resolve(spark, root, fmt, PARTITION_COLS, keep)
+    if layout.broken:
+        raise UnreadableFiles("; ".join(f"{p}: {what}" for p, what in sorted(layout.broken.items())[:5]))
+    return _loaded(spark, layout, schema, null_value)
 
 
 def scan_month(spark: SparkSession, root: str, year: int, month: int, fmt: str = "parquet",
                null_value: str = CSV_NULL) -> DataFrame:
-    """SRC-02: one month of one layout, by partition pruning."""
-    return read_flights(spark, root, fmt, null_value=null_value).where((F.col("year") == year) & (F.col("month") == month))
+    """SRC-02: one month of one layout; no file of another month is opened."""
+    df = read_flights(spark, root, fmt, null_value=null_value, keep=of_months([(year, month)]))
+    return df.where((F.col("year") == year) & (F.col("month") == month))
 
 
 def scan_year(spark: SparkSession, root: str, year: int, fmt: str = "parquet",
               null_value: str = CSV_NULL) -> DataFrame:
-    """SRC-03: all months of one year (months found by partition discovery)."""
-    return read_flights(spark, root, fmt, null_value=null_value).where(F.col("year") == year)
+    """SRC-03: all months of one year, from its folders alone."""
+    return read_flights(spark, root, fmt, null_value=null_value, keep=lambda u: _int(u["year"]) == year).where(F.col("year") == year)
 
 
-def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None,
+               partition_cols=("year",)) -> DataFrame:
     """SRC-04: every year of a table written by ``year`` partition (no glob needed).
-    CSV columns are typed by ``schema``, which CSV tables need."""
-    if fmt == "csv":
-        if schema is None:
-            raise ValueError("a CSV table is read with its schema")
-        df = read_csv_by_name(spark, root)
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return spark.read.parquet(root)
+
+    Columns come by name; years of different types get the widest, or the type
+    that ``schema`` declares. CSV tables need a schema.
+    """
+    if fmt == "csv" and schema is None:
+        raise ValueError("a CSV table is read with its schema")
+    layout = resolve(spark, root, fmt, partition_cols)
+    if layout.broken:
+        raise UnreadableFiles("; ".join(sorted(layout.broken)[:5]))
+    df = load(spark, layout, schema)
+    if df is None:
+        stored = stored_schema(spark, root)
+        if schema is None and stored is None:
+            raise ValueError(f"{root} holds no files to tell its columns: name the schema")
+        return spark.createDataFrame([], schema or T.StructType.fromJson(json.loads(stored)))
+    if schema is None:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def register_views(dfs: dict[str, DataFrame]) -> None:

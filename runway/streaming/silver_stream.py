@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runway.plans.silver import KEYS, run_silver
+from runway.plans.silver import KEYS, of_units, run_silver
 from runway.plans.sinks import CSV_NULL
 from runway.session import checkpoint_dir
-from runway.sources.scans import read_flights
+from runway.sources.scans import of_months, read_flights
 from runway.sources.schema import FLIGHTS_SCHEMA
 
 
@@ -32,8 +32,9 @@ def silver_stream(spark: SparkSession, bronze_root: str, out_root: str, fmt: str
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         months = df.select(*KEYS).distinct()
-        raw = read_flights(df.sparkSession, bronze_root, fmt, null_value=null_value)
-        run_silver(df.sparkSession, raw.join(months, list(KEYS), "left_semi"), out_root, fmt=fmt, rules=rules, keys=KEYS)
+        # the batch's months, a handful; a file without year or month is the NULL month's
+        raw = read_flights(df.sparkSession, bronze_root, fmt, null_value=null_value, keep=of_months(tuple(r) for r in months.collect()))
+        run_silver(df.sparkSession, of_units(raw, months, KEYS), out_root, fmt=fmt, rules=rules, keys=KEYS)
 
     return (news.select(*KEYS).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
