@@ -140,6 +140,47 @@ def clean(flagged: DataFrame, reason_col: str = "rejection_reason") -> DataFrame
     return flagged.where(F.col(reason_col).isNull()).drop(reason_col).dropDuplicates()
 
 
+MARK_BITS = 1 << 26  # marks of repeated digests: 8 MB, whatever the number of rows
+_BITMAP = 1 << 15  # bits of one bitmap
+
+
+def row_digest(columns) -> tuple[Column, Column]:
+    """128 bits of a row's values; equal rows (NULL equal to NULL, 0.0 to -0.0) have equal ones."""
+    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
+
+
+def unsure_rows(rows: DataFrame, digest=row_digest, bits: int = MARK_BITS) -> DataFrame:
+    """``rows`` with ``_unsure``: whether another row may be equal. Digests that occur twice
+    set a mark among ``bits``; a row under a mark is unsure, any other is the only one of
+    its kind. Only digests are shuffled, after partial counts; the marks are a bitmap
+    of bounded size, which is broadcast."""
+    first, second = digest([F.col(f"`{c}`") for c in rows.columns])
+    again = rows.select(first.alias("h1"), second.alias("h2")).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    mark = F.pmod(F.col("h1"), F.lit(bits))
+    marks = again.select(mark.alias("mark")).groupBy(F.expr(f"mark div {_BITMAP}").alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("_marks"))  # at most bits / 2^15 rows of 4 KB
+    own = rows.withColumn("_mark", F.pmod(first, F.lit(bits)))
+    own = own.withColumn("_block", F.expr(f"_mark div {_BITMAP}")).join(F.broadcast(marks), "_block", "left")
+    at = F.bitmap_bit_position("_mark").cast("int")
+    byte = F.conv(F.hex(F.substring("_marks", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # shifts by a column: divide by the power of two
+    set_ = F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))).cast("int").bitwiseAND(F.lit(1)) == 1
+    return own.withColumn("_unsure", F.coalesce(set_, F.lit(False))).drop("_mark", "_block", "_marks")
+
+
+def clean_by_digest(flagged: DataFrame, reason_col: str = "rejection_reason", digest=row_digest, bits: int = MARK_BITS) -> DataFrame:
+    """``clean``, by digest first: rows without an equal go from the scan to the result, and
+    only those that may have one are shuffled whole and compared on all columns.
+
+    Worth its extra passes over a narrow projection where few rows are repeated and
+    rows are wide. Equal digests of different rows, and shared marks, cost a
+    shuffle of these rows and nothing else.
+    """
+    rows = flagged.where(F.col(reason_col).isNull()).drop(reason_col)
+    told = unsure_rows(rows, digest, bits)
+    return told.where(~F.col("_unsure")).drop("_unsure").unionAll(told.where("_unsure").drop("_unsure").dropDuplicates())
+
+
 def copy_counts(flagged: DataFrame) -> DataFrame:
     """One row per distinct flagged row with ``copies`` = multiplicity.
 

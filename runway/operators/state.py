@@ -238,14 +238,13 @@ def stale_years(frontier: DataFrame, markers: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- ST-08
 
-def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> DataFrame:
-    """Failure marker implied by an attempt log (unit…, seq, attempt_ts, outcome).
+def marker_snapshot(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> DataFrame:
+    """What an attempt log (unit…, seq, attempt_ts, outcome) says of each unit, as a state
+    that merges with that of a later part of the log (``merge_snapshots``).
 
-    Only attempts after the unit's last ok attempt count (the island).
-    Any CODE failure in the island → ``CODE`` (a CODE write overwrites and
-    SOURCE never downgrades it); else ``n`` SOURCE failures → ``SOURCE`` with
-    ``attempts = n`` and ``first_seen`` = first failure, escalated to
-    ``CODE`` at the 14th (``escalated_at`` = its time). No island → ``none``.
+    ``last_ok`` (seq of the unit's last ok attempt) and, of the attempts after it (the
+    island), ``n_code``, ``n_source``, ``last_attempt_ts`` and ``early``: the first 14
+    SOURCE attempts (seq, attempt_ts). One row per unit of the log.
 
     Skew: a unit's log is dealt over ``buckets`` by seq before the join with its
     last ok attempt and reduced there to a count, a first failure and its first
@@ -254,12 +253,12 @@ def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> Data
     u = list(unit_cols)
     salt = F.pmod(F.col("seq"), F.lit(buckets)).cast("int")
     is_ok = F.col("outcome").isin(*OK_OUTCOMES)
-    last_ok = log.groupBy(*u).agg(F.max(F.when(is_ok, F.col("seq"))).alias("_last_ok"))
-    every = last_ok.select(*u, "_last_ok", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_salt"))
+    last_ok = log.groupBy(*u).agg(F.max(F.when(is_ok, F.col("seq"))).alias("last_ok"))
+    every = last_ok.select(*u, "last_ok", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_salt"))
     # dealt by (unit, bucket): partitioning by unit alone would also satisfy what follows
     dealt = log.withColumn("_salt", salt).repartition(*u, "_salt")
     island = (dealt.join(every, [*u, "_salt"], "inner")
-              .where(F.col("_last_ok").isNull() | (F.col("seq") > F.col("_last_ok"))))
+              .where(F.col("last_ok").isNull() | (F.col("seq") > F.col("last_ok"))))
     src = F.col("outcome") == SOURCE
     wb = Window.partitionBy(*u, "_salt").orderBy(F.desc(src), "seq")
     # per bucket: its first 14 SOURCE attempts as a bounded list, the rest as counts
@@ -268,31 +267,66 @@ def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> Data
         F.max("attempt_ts").alias("_last"),
         F.collect_list(F.when(src & (F.col("_rb") <= MAX_SOURCE_RETRIES), F.struct("seq", "attempt_ts"))).alias("_early")))
     agg = part.groupBy(*u).agg(
-        F.sum("_code").alias("_n_code"), F.sum("_source").alias("_n_source"), F.max("_last").alias("last_attempt_ts"),
-        F.sort_array(F.flatten(F.collect_list("_early"))).alias("_early"))  # at most 14 a bucket
-    first = F.get(F.col("_early"), F.lit(0))
-    nth = F.get(F.col("_early"), F.lit(MAX_SOURCE_RETRIES - 1))
-    agg = agg.select(*u, "_n_code", "_n_source", "last_attempt_ts", first["attempt_ts"].alias("_first_src_ts"),
-                     nth["attempt_ts"].alias("_esc_ts"))
+        F.sum("_code").alias("n_code"), F.sum("_source").alias("n_source"), F.max("_last").alias("last_attempt_ts"),
+        _first_attempts(F.flatten(F.collect_list("_early"))).alias("early"))  # at most 14 a bucket
     # last_ok has one row per unit (all units), so it is the unit list too
-    j = last_ok.join(agg, u, "left")
-    n_code = F.coalesce(F.col("_n_code"), F.lit(0))
-    n_src = F.coalesce(F.col("_n_source"), F.lit(0))
+    none = F.array().cast(agg.schema["early"].dataType)
+    return last_ok.join(agg, u, "left").select(
+        *u, "last_ok", F.coalesce("n_code", F.lit(0)).alias("n_code"), F.coalesce("n_source", F.lit(0)).alias("n_source"),
+        "last_attempt_ts", F.coalesce("early", none).alias("early"))
+
+
+def _first_attempts(attempts: Column) -> Column:
+    return F.slice(F.sort_array(attempts), 1, MAX_SOURCE_RETRIES)
+
+
+def merge_snapshots(before: DataFrame, after: DataFrame, unit_cols=("unit",)) -> DataFrame:
+    """The snapshot of a log from those of its part up to some seq and of the rest. An ok
+    attempt in the later part ends the earlier island; without one the islands join.
+    Associative, so a log may be folded in parts of any size."""
+    u = list(unit_cols)
+    x, y = F.col("x"), F.col("y")
+    names = [c for c in before.columns if c not in u]
+    both = before.select(*u, F.struct(*names).alias("x")).join(after.select(*u, F.struct(*names).alias("y")), u, "full")
+    alone = x.isNull() | y["last_ok"].isNotNull()
+    joined = {"last_ok": x["last_ok"], "n_code": x["n_code"] + y["n_code"], "n_source": x["n_source"] + y["n_source"],
+              "last_attempt_ts": F.greatest(x["last_attempt_ts"], y["last_attempt_ts"]),
+              "early": _first_attempts(F.concat(x["early"], y["early"]))}
+    return both.select(*u, *[F.when(y.isNull(), x[c]).when(alone, y[c]).otherwise(joined[c]).alias(c) for c in names])
+
+
+def marker_of(snapshot: DataFrame, unit_cols=("unit",)) -> DataFrame:
+    """The failure marker that a snapshot implies (see ``marker_state``)."""
+    u = list(unit_cols)
+    first, nth = F.get(F.col("early"), F.lit(0)), F.get(F.col("early"), F.lit(MAX_SOURCE_RETRIES - 1))
+    n_code, n_src = F.col("n_code"), F.col("n_source")
     escalated = (n_code == 0) & (n_src >= MAX_SOURCE_RETRIES)
     state = (F.when(n_code > 0, CODE).when(escalated, CODE).when(n_src > 0, SOURCE).otherwise("none"))
-    return j.select(
+    return snapshot.select(
         *u,
         state.alias("state"),
         escalated.alias("escalated"),
         F.when(n_code > 0, F.lit(None).cast("int"))
         .when(escalated, F.lit(MAX_SOURCE_RETRIES))
         .otherwise(n_src.cast("int")).alias("attempts"),
-        F.when((n_code == 0) & (n_src > 0), F.col("_first_src_ts")).alias("first_seen"),
-        F.when(escalated, F.col("_esc_ts")).alias("escalated_at"),
+        F.when((n_code == 0) & (n_src > 0), first["attempt_ts"]).alias("first_seen"),
+        F.when(escalated, nth["attempt_ts"]).alias("escalated_at"),
         F.col("last_attempt_ts"),
     )
 
 
+def marker_state(log: DataFrame, unit_cols=("unit",), buckets: int = 64) -> DataFrame:
+    """Failure marker implied by an attempt log (unit…, seq, attempt_ts, outcome).
+
+    Only attempts after the unit's last ok attempt count (the island).
+    Any CODE failure in the island → ``CODE`` (a CODE write overwrites and
+    SOURCE never downgrades it); else ``n`` SOURCE failures → ``SOURCE`` with
+    ``attempts = n`` and ``first_seen`` = first failure, escalated to
+    ``CODE`` at the 14th (``escalated_at`` = its time). No island → ``none``.
+    """
+    return marker_of(marker_snapshot(log, unit_cols, buckets), unit_cols)
+
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runway.functions import scalars as S
-from runway.operators import dq, gold, state
-from runway.plans.gold import recompute_trend, run_gold
+from runway.operators import dq, gold, rollup, state
+from runway.plans.gold import build_states, extend_trend, recompute_trend, refresh_months, rolled_up_kpi, run_gold
 from runway.plans.incremental import gold_increment, silver_increment
 from runway.plans.silver import KEYS, run_silver
-from runway.plans.sinks import prepare, replace_units, settle, write_partitioned, write_text
+from runway.plans.sinks import prepare, replace_units, settle, stored_units, write_partitioned, write_text
 from runway.session import checkpoint_dir
 from runway.sources import fixtures as fx
 from runway.sources.landing import landing_outcomes, read_landing
@@ -197,6 +197,57 @@ def silver_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps[0].unionAll(steps[1]).unionAll(steps[2])
 
 
+def gold_late_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airline KPI table when one month of Silver came late: Gold was built without
+    it, and then refreshed from that month alone."""
+    root, base = _folder(spark, "late-gold"), _folder(spark, "late-silver")
+    silver = fx.silver(spark, sf_dir)
+    late = (F.col("year") == YEAR) & (F.col("month") == 6)
+    tables = {"airline_monthly_kpi": gold.airline_monthly_kpi}
+    run_gold(spark, silver.where(~late | F.col("year").isNull()), root, tables=tables)
+    write_partitioned(silver.where("year IS NOT NULL AND month IS NOT NULL"), f"{base}/cleaned")
+    refresh_months(spark, base, root, [(YEAR, 6)], tables)
+    return read_table(spark, f"{root}/airline_monthly_kpi")
+
+
+def airline_year_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GT-1's measures a year and airline, merged from month states, one of which was
+    replaced after the others had been written."""
+    root = _folder(spark, "states")
+    silver = fx.silver(spark, sf_dir)
+    late = (F.col("year") == YEAR) & (F.col("month") == 6)
+    build_states(spark, silver.where(~late | (F.col("cancelled") == 1) | F.col("year").isNull()), root)
+    build_states(spark, silver.where(late), root, months=[(YEAR, 6)])
+    return rolled_up_kpi(spark, root, ("year", "reporting_airline"))
+
+
+def trend_append_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend when the last year is appended to a table of the years before."""
+    root = _folder(spark, "trend")
+    silver = fx.silver(spark, sf_dir)
+    tables = {"airline_monthly_kpi": gold.airline_monthly_kpi}
+    last = silver.agg(F.max("year")).first()[0]
+    run_gold(spark, silver.where(F.col("year") < last), root, tables=tables)
+    first = min(int(u["year"]) for u in stored_units(spark, f"{root}/airline_monthly_kpi", ("year",)))
+    extend_trend(spark, root, [first])
+    run_gold(spark, silver, root, years=[last], tables=tables)
+    return read_table(spark, extend_trend(spark, root, [last]))
+
+
+def connectivity_rollup(silver: DataFrame) -> DataFrame:
+    """Distinct airlines and airports a day, month and year, or-ed from day bitmaps."""
+    roles = gold.airport_roles(silver)
+    return rollup.connectivity_rollup(rollup.connectivity_bitmaps(
+        silver, rollup.numbered(silver, "reporting_airline"), rollup.numbered(roles, "peer_airport")))
+
+
+def marker_state_resumed(log: DataFrame) -> DataFrame:
+    """Marker state from a stored snapshot of the log's first half and the rest."""
+    cut = log.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    before = state.marker_snapshot(log.where(F.col("seq") <= F.lit(cut))).checkpoint(eager=True)
+    return state.marker_of(state.merge_snapshots(before, state.marker_snapshot(log.where(F.col("seq") > F.lit(cut)))))
+
+
 def _incremented(spark: SparkSession, sf_dir: str) -> tuple[str, str, dict, dict]:
     silver, control = _folder(spark, "inc-silver"), _folder(spark, "inc-control")
     bronze = fx.bronze_root(spark, sf_dir, "parquet")

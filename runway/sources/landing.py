@@ -57,7 +57,7 @@ def _member(handle) -> tuple[zipfile.ZipFile | None, zipfile.ZipInfo | None, str
     """An archive's first CSV member, or what is wrong with it."""
     try:
         archive = zipfile.ZipFile(handle)
-    except zipfile.BadZipFile:
+    except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter for a seek before the start
         return None, None, "corrupt"
     for info in archive.infolist():
         if info.filename.lower().endswith(".csv"):

@@ -82,15 +82,16 @@ def scan_year(spark: SparkSession, root: str, year: int, fmt: str = "parquet",
 
 
 def read_table(spark: SparkSession, root: str, fmt: str = "parquet", schema: T.StructType | None = None,
-               partition_cols=("year",)) -> DataFrame:
+               partition_cols=("year",), keep=None) -> DataFrame:
     """SRC-04: every year of a table written by ``year`` partition (no glob needed).
 
     Columns come by name; years of different types get the widest, or the type
-    that ``schema`` declares. CSV tables need a schema.
+    that ``schema`` declares. CSV tables need a schema. ``keep`` decides on a folder
+    by its partition values before anything in it is opened.
     """
     if fmt == "csv" and schema is None:
         raise ValueError("a CSV table is read with its schema")
-    layout = resolve(spark, root, fmt, partition_cols)
+    layout = resolve(spark, root, fmt, partition_cols, keep)
     if layout.broken:
         raise UnreadableFiles("; ".join(sorted(layout.broken)[:5]))
     df = load(spark, layout, schema)
