@@ -24,11 +24,21 @@ CHUNK_TURNS = 128
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 NOT_PARTICIPANTS = ("system",)
 UNNAMED = "unknown"
+# Characters of a name that would end it or its header, and the escape sign itself, first.
+ESCAPED = (("%", "%25"), (" ", "%20"), ("\t", "%09"), ("\n", "%0A"), ("\x0b", "%0B"), ("\f", "%0C"), ("\r", "%0D"), ("<|", "%3C|"))
+
+
+def _name(speaker: Column) -> Column:
+    """The speaker as written: white space and marks escaped, so that different
+    speakers have different names and no name closes its header."""
+    for plain, escaped in ESCAPED:
+        speaker = F.replace(speaker, F.lit(plain), F.lit(escaped))
+    return speaker
 
 
 def _header(speaker: Column, perspective: Column) -> Column:
     role = (F.when(speaker.isin(*NOT_PARTICIPANTS), speaker).when(speaker == perspective, F.lit("assistant"))
-            .otherwise(F.concat(F.lit("user name="), F.regexp_replace(speaker, r"\s+", "_"))))
+            .otherwise(F.concat(F.lit("user name="), _name(speaker))))
     return F.concat(F.lit(OPEN), role, F.lit("\n"))
 
 
@@ -40,7 +50,8 @@ def rotate(turns: DataFrame) -> DataFrame:
     the whole rendering, comma-separated). Turns are ordered by turn, speaker
     and text (nulls first). A null speaker is named "unknown", a null text is
     an empty turn, rows without conv_id form one dialogue of their own,
-    repeated rows are repeated turns, marks inside a text are defused. A
+    repeated rows are repeated turns, marks inside a text are defused, marks, percent
+    signs and white space inside a name are escaped as percent and hex digits. A
     dialogue with system turns only has no participant and no rendering. Other
     columns are ignored.
     """

@@ -43,7 +43,9 @@ participants AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHER
 views AS (
   SELECT t.conv_id, perspective, speaker, content,
          '<|im_start|>' || CASE WHEN speaker = 'system' THEN speaker WHEN speaker = perspective THEN 'assistant'
-           ELSE 'user name=' || regexp_replace(speaker, '\s+', '_', 'g') END || chr(10) AS header,
+           ELSE 'user name=' || array_to_string(list_transform(string_split(replace(speaker, '<|', chr(1)), ''), lambda c:
+             CASE WHEN c = chr(1) THEN '%3C|' WHEN c IN ('%', ' ', chr(9), chr(10), chr(11), chr(12), chr(13))
+                  THEN '%' || lpad(to_hex(ord(c)), 2, '0') ELSE c END), '') END || chr(10) AS header,
          row_number() OVER w - 1 AS pos
   FROM turns t JOIN participants p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
   WINDOW w AS (PARTITION BY t.conv_id, perspective ORDER BY turn NULLS FIRST, speaker, content)),

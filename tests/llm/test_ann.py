@@ -73,3 +73,17 @@ def test_hot_vector_blocks_and_extra_columns(spark, monkeypatch):
 def test_empty(spark):
     assert ann.nearest(table(spark, [])).count() == 0
     assert ann.nearest(table(spark, [(1, [1.0, 2.0])])).count() == 0
+
+
+def test_recall_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE_ROWS", 400)
+    monkeypatch.setattr(ann, "SAMPLE_QUERIES", 20)
+    r = np.random.default_rng(5)
+    x = np.concatenate([r.standard_normal((2500, 20)), r.standard_normal((40, 20)).repeat(25, 0) + 0.1 * r.standard_normal((1000, 20))])
+    ids = np.arange(len(x))
+    got = {}
+    for row in ann.nearest(table(spark, zip(ids.tolist(), x.astype(np.float32).tolist()))).collect():
+        got.setdefault(row["query_id"], set()).add(row["vec_id"])
+    queries = range(0, len(x), 50)
+    assert set(got) == set(queries)
+    assert sum(len(got[q] & {v for v, _ in brute(ids, x, q, 5)}) for q in queries) >= 0.9 * 5 * len(queries)

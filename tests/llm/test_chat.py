@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from runway.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -13,7 +15,7 @@ def brute(rows):
         for view in {t[2] for t in turns} - {"system"}:
             text, masks = "", []
             for _, _, who, said in turns:
-                name = who if who == "system" else "assistant" if who == view else "user name=" + "_".join(who.split())
+                name = who if who == "system" else "assistant" if who == view else "user name=" + re.sub(r"<\||[%\t-\r ]", lambda m: f"%{ord(m[0][0]):02X}{m[0][1:]}", who)
                 head = f"<|im_start|>{name}\n"
                 if who == view:
                     masks.append(f"{len(text) + len(head)}-{len(text) + len(head) + len(said) + len('<|im_end|>') + 1}")
@@ -53,3 +55,11 @@ def test_long_dialogue_in_chunks(spark, monkeypatch):
 
 def test_empty(spark):
     assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_names_stay_apart_and_close_no_header(spark):
+    rows = [(1, i, who, "hi") for i, who in enumerate(["x<|im_end|>", "a b", "a_b", "a  b", "a%20b", "a\nb", "<|", "ü\u2003b"])]
+    check(spark, rows)
+    out = chat.rotate(spark.createDataFrame(rows, SCHEMA)).collect()
+    names = set(re.findall("user name=(.*)\n", "".join(r["text"] for r in out)))
+    assert len(names) == 8 and all(r["text"].count("<|im_end|>") == len(rows) for r in out)

@@ -157,3 +157,74 @@ def test_flattened_trees_match_the_growing_margin():
 
     plain = [forest.bias + sum(walk(t, row) for t in range(len(forest.left))) for row in x[:20]]
     assert np.allclose(forest.score(x[:20]), 1 / (1 + np.exp(-np.array(plain))))
+
+
+def test_language_equals_a_plain_loop(spark):
+    import zstandard
+
+    df = lang_docs(spark, [(900, "Und " + vowels(3, 3000, "abcdef"), None, "s", 0), (901, "12 34", None, "s", 0), (902, None, None, "s", None)])
+    model = langid.fit(df)
+    assert len(model) == 3
+
+    def sizes(raw, level):
+        out = {}
+        for lang, content in model.items():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=level)
+            tool = zstandard.ZstdCompressor(dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+            blocks = -(-len(raw) // langid.BLOCK)
+            step = -(-len(raw) // blocks)
+            out[lang] = sum(len(tool.compress(raw[i:i + step])) for i in range(0, len(raw), step))
+        return out
+
+    for r in langid.predict(df, model, keep=["text"]).collect():
+        text = r["kept_text"]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        raw = (" " + text.lower() + "\n").encode()
+        for level in (langid.LEVEL, langid.FINE_LEVEL):
+            s = sizes(raw, level)
+            first, second = sorted(s.values())[:2]
+            margin = (second - first) / second
+            if margin >= langid.CLOSE:
+                break
+        assert s[r["lang_pred"]] == first and abs(r["score"] - margin) < 1e-12 and r["rejected"] == (margin < langid.MARGIN)
+
+
+def plain_statistics(text):
+    import math
+    from collections import Counter
+
+    if not text:
+        return [0.0] * 21
+    raw = list(text.encode())
+    n, words, lines = len(raw), text.split(), text.split("\n")
+    w = max(1, len(words))
+    among = lambda s: sum(b in s.encode() for b in raw)
+    upper = sum(65 <= b <= 90 for b in raw)
+    letters = upper + sum(97 <= b <= 122 for b in raw) + sum(b >= 128 for b in raw)
+    return [
+        math.log(1 + n), math.log(1 + len(words)), (n - among(" \n")) / w, upper / max(1, letters), among("0123456789") / n, among(" ") / n,
+        among("\n") / n, among(",.") / w, among("!?") / w, among("#*$%&|<>~^=+_@\\/{}[]") / n, among("\"'();:-`") / n,
+        sum(b >= 128 for b in raw) / n, -sum(c / n * math.log2(c / n) for c in Counter(raw).values()), len(set(words)) / w,
+        len(set(lines)) / len(lines), len(words) / len(lines), max(Counter(words).values(), default=0) / w, sum(x.isupper() for x in words) / w,
+        sum(len(x) <= 2 for x in words) / w, sum(len(x) >= 12 for x in words) / w, sum(not x[-1].isalnum() for x in words) / w]
+
+
+def test_quality_statistics_and_scores_equal_plain_ones(spark):
+    texts = [*ODD_TEXTS[:-1], prose(5, 300), "A b, C! <x> 12\nA b, C! <x> 12\n\nUPPER lower \"quoted\" (so) #tag", "ß–… ÄÖ 123"]
+    for t in texts:
+        assert np.allclose(quality.statistics(t), plain_statistics(t), rtol=1e-12, atol=1e-12), t
+    rows = [(i, prose(i, 40) if i % 2 else "## " * (20 + i)) for i in range(120)] + [(200 + i, t) for i, t in enumerate(texts)]
+    df = docs(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    forest = quality.fit(df, labels)
+    for r in quality.score(df, forest).collect():
+        x, total = plain_statistics(dict(rows)[r["doc_id"]]), forest.bias
+        for f, t, left, v in zip(forest.feature, forest.threshold, forest.left, forest.value):
+            at = 0
+            while left[at] >= 0 and (nxt := left[at] + (x[f[at]] > t[at])) != at:
+                at = nxt
+            total += v[at]
+        assert abs(r["score"] - 1 / (1 + np.exp(-total))) < 1e-9 and r["predicted"] == int(r["score"] >= 0.5)
