@@ -31,10 +31,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id.
-    Five-word shingles at a similarity of 0.8; texts without words stay, rows
-    that repeat an id become one, rows without an id are linked with nothing."""
+    Five-word shingles at a similarity of 0.8; texts without words stay, rows that
+    repeat an id and its text become one (an id's different texts all stay or go),
+    rows without an id are linked with nothing."""
     kept = near.groups(docs, percent=80, k=5).where("kept OR n_shingles = 0").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
+    one = docs.join(kept, "doc_id").withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*COLUMNS)
     return one.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 

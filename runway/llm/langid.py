@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import crc_mod, small_batches
+from runway.llm.common import crc_mod, giving_back, small_batches
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 400  # labelled documents a language
@@ -141,4 +141,4 @@ def predict(docs: DataFrame, model: Model, held_out_mod: int = 5, keep: list[str
                     + [b.column(2 + k) for k in range(len(keep))],
                     names=["doc_id", "held_out", "lang_pred", "score", "rejected", *[f"kept_{c}" for c in keep]])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(giving_back(run), schema)

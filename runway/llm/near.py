@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import small_batches, stage
+from runway.llm.common import giving_back, small_batches, stage
 from runway.llm.components import components
 from runway.llm.shingles import mix, shingle_sets
 
@@ -87,7 +87,7 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, fingerprint (two longs), signature and band hashes."""
+    """doc_id, n_shingles, fingerprint (two longs), signature, band hashes and the text's hash."""
     def run(batches):
         for batch in batches:
             ids, at = batch.column(0), 0
@@ -110,12 +110,13 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
                     bands.append(h.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                     pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "f1", "f2", "sig", "bands"])
+                     pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64())), batch.column(2).slice(at, len(texts))],
+                    names=["doc_id", "n_shingles", "f1", "f2", "sig", "bands", "of_text"])
                 at += len(texts)
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>")
+    text = F.col("text").cast("string")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("of_text")).mapInArrow(
+        giving_back(run), "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>, of_text long")
 
 
 def _close(percent: int):
@@ -253,7 +254,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         for t in _whole_groups(batches, keys):
             yield from compare(t, joined, known)
 
-    return _blocks(rows, ["bucket"], "members", BLOCK).mapInArrow(run, "kind int, a long, b long")
+    return _blocks(rows, ["bucket"], "members", BLOCK).mapInArrow(giving_back(run), "kind int, a long, b long")
 
 
 def _linked(rows: DataFrame, percent: int, k: int) -> DataFrame:
@@ -301,7 +302,7 @@ def _linked(rows: DataFrame, percent: int, k: int) -> DataFrame:
                 if hi - lo > 1:
                     yield from verify(t.slice(lo, hi - lo))
 
-    return _blocks(rows, ["cluster"], "members", CLUSTER_BLOCK).mapInArrow(run, "a long, b long").distinct()
+    return _blocks(rows, ["cluster"], "members", CLUSTER_BLOCK).mapInArrow(giving_back(run), "a long, b long").distinct()
 
 
 def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
@@ -319,17 +320,22 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
     """
     made = stage(profiles(docs, k), "profiles")
     some = made.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stage(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = some.join(classes, ["f1", "f2"]).where("doc_id = rep").dropDuplicates(["rep"])
-    reps = stage(reps.select("rep", F.col("n_shingles").alias("n"), "sig", "bands"), "representatives")
+    # a class is named by a number of its own; one of its texts, by id and hash, stands for it
+    classes = some.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "of_text")).alias("own"))
+    classes = stage(classes.select("f1", "f2", F.col("own.doc_id").alias("least"), F.col("own.of_text").alias("least_text"),
+                                   F.monotonically_increasing_id().alias("rep")), "classes")
+    reps = some.join(classes, ["f1", "f2"]).where("doc_id = least AND of_text = least_text").dropDuplicates(["rep"])
+    reps = stage(reps.select("rep", "least", "least_text", F.col("n_shingles").alias("n"), "sig", "bands"), "representatives")
 
     banded = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count(F.lit(1)).alias("members")).where(
         "members > 1")
     mates = stage(banded.join(hubs, "bucket").select(
         "bucket", "members", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "mates")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(
-        mates.select("rep").distinct(), "rep").dropDuplicates(["rep"])
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("least"), F.xxhash64(text).alias("least_text"), text.alias("text")).join(
+        reps.select("rep", "least", "least_text").join(mates.select("rep").distinct(), "rep"), ["least", "least_text"]).select(
+        "rep", "text").dropDuplicates(["rep"])
     texts = stage(texts, "mate-texts")
 
     stars = mates.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"), F.col("hub_n").alias("na"),
@@ -351,12 +357,17 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
     rows = members.join(sizes, "cluster").join(reps.select("rep", "n", "sig"), "rep").join(texts, "rep")
     more = stage(_linked(rows, percent, k), "cluster-links")
     # a document whose rows have several texts joins the groups of all of them
-    same = some.join(classes, ["f1", "f2"]).where("doc_id <> rep").select("doc_id", "rep").distinct()
-    several = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("a", "b")
+    same = some.join(classes, ["f1", "f2"]).select("doc_id", "rep").distinct()
+    first = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
+    several = same.join(first, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
     roots = stage(components(links.unionAll(more).unionAll(several)), "components")
+    # a component is named by its smallest document
+    named = classes.join(roots.withColumnRenamed("node", "rep"), "rep").groupBy("root").agg(F.min("least").alias("component"))
+    of_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(named, "root", "left").select(
+        "f1", "f2", F.coalesce("component", "least").alias("component"))
 
-    own = made.join(classes, ["f1", "f2"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    own = made.join(of_class, ["f1", "f2"], "left")
     member = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
-    component = F.when(member, F.coalesce("root", "rep", "doc_id")).otherwise(F.col("doc_id"))
-    return own.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    component = F.when(member, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    found = own.select("doc_id", "n_shingles", component.alias("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runway.llm.bpe import slices
-from runway.llm.common import small_batches, stage
+from runway.llm.bpe import SLICE_BYTES
+from runway.llm.common import gathered, giving_back, small_batches, stage
 from runway.llm.shingles import mix
 from runway.llm.suffixes import suffix_array
 
@@ -40,6 +40,7 @@ LENGTH, GRAM, STEP = 200, 48, 32
 GROUP = 32_768  # different runs of an anchor that one task may hold
 BUCKET_BLOCKS = 100_000  # blocks of one suffix array
 CARRY_ROWS = 500_000  # rows of one anchor held while judging it
+CONTEXT_TEXT = 1 << 20  # bytes of text whose runs are cut out together; runs overlap, so they are some four times as long
 PIECE = 1 << 22  # bytes of a long text looked at together
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -97,37 +98,34 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
     task sends its anchor one row a slice.
     """
     def run(batches):
-        for batch in batches:
-            ids, at = batch.column(0).to_numpy(), 0
-            for texts in slices(batch.column(1).to_pylist()):
-                out = []
-                for row, text in zip(ids[at:at + len(texts)].tolist(), texts):
-                    raw = (text or "").encode("utf-8", "replace")
-                    if len(raw) < length:
-                        continue
-                    h, anchor, first, last = anchor_runs(np.frombuffer(raw, dtype=np.uint8), length)
-                    own = [xxhash.xxh3_64_intdigest(raw[a:b + length], seed=p - a) for p, a, b in zip(
-                        anchor.tolist(), first.tolist(), last.tolist())]
-                    # anchor (40 bits), its distance from the first window (12), windows - 1 (12)
-                    place = anchor << 24 | (anchor - first) << 12 | (last - first)
-                    out.append((h, np.array(own, dtype=np.uint64).view(np.int64), np.full(len(h), row), place))
-                at += len(texts)
-                if not out:
+        for batch in gathered(batches, 1, SLICE_BYTES):
+            out = []
+            for row, text in zip(batch["_row"].to_numpy().tolist(), batch["text"].to_pylist()):
+                raw = (text or "").encode("utf-8", "replace")
+                if len(raw) < length:
                     continue
-                h, own, row, place = (np.concatenate(c) for c in zip(*out))
-                by = np.lexsort((own, h))
-                fresh = np.ones(len(by), dtype=bool)
-                fresh[1:] = (h[by[1:]] != h[by[:-1]]) | (own[by[1:]] != own[by[:-1]])
-                copies = np.bincount(np.cumsum(fresh) - 1)[np.cumsum(fresh) - 1]
-                single, twice, heads = by[copies == 1], by[copies > 1], by[(copies > 1) & fresh]
-                parts = np.concatenate([single, twice, heads])
-                times = np.repeat(np.array([1, 0, 2], dtype=np.int32), [len(single), len(twice), len(heads)])
-                to = np.where(times == 0, mix(row[parts].view(np.uint64)).view(np.int64), h[parts])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to), pa.array(own[parts]), pa.array(row[parts]), pa.array(place[parts]), pa.array(times)],
-                    names=["anchor", "run", "row", "place", "times"])
-
-    return rows.select("_row", "text").mapInArrow(run, "anchor long, run long, row long, place long, times int")
+                h, anchor, first, last = anchor_runs(np.frombuffer(raw, dtype=np.uint8), length)
+                own = [xxhash.xxh3_64_intdigest(raw[a:b + length], seed=p - a) for p, a, b in zip(
+                    anchor.tolist(), first.tolist(), last.tolist())]
+                # anchor (40 bits), its distance from the first window (12), windows - 1 (12)
+                place = anchor << 24 | (anchor - first) << 12 | (last - first)
+                out.append((h, np.array(own, dtype=np.uint64).view(np.int64), np.full(len(h), row), place))
+            if not out:
+                continue
+            h, own, row, place = (np.concatenate(c) for c in zip(*out))
+            by = np.lexsort((own, h))
+            fresh = np.ones(len(by), dtype=bool)
+            fresh[1:] = (h[by[1:]] != h[by[:-1]]) | (own[by[1:]] != own[by[:-1]])
+            copies = np.bincount(np.cumsum(fresh) - 1)[np.cumsum(fresh) - 1]
+            single, twice, heads = by[copies == 1], by[copies > 1], by[(copies > 1) & fresh]
+            parts = np.concatenate([single, twice, heads])
+            times = np.repeat(np.array([1, 0, 2], dtype=np.int32), [len(single), len(twice), len(heads)])
+            to = np.where(times == 0, mix(row[parts].view(np.uint64)).view(np.int64), h[parts])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to), pa.array(own[parts]), pa.array(row[parts]), pa.array(place[parts]), pa.array(times)],
+                names=["anchor", "run", "row", "place", "times"])
+
+    return rows.select("_row", "text").mapInArrow(giving_back(run), "anchor long, run long, row long, place long, times int")
 
 
 def _judge(anchors: DataFrame) -> DataFrame:
@@ -204,22 +202,26 @@ def _contexts(rows: DataFrame, judged: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("anchor", "block", "place", "kind")).alias("runs"))  # at most a text's runs
     both = rows.where("_row IS NOT NULL").select("_row", "text").join(wanted, F.col("_row") == F.col("row"))
 
+    names = ["anchor", "block", "kind", "row", "place", "bytes"]
+
     def run(batches):
-        for batch in batches:
-            for row, text, runs in zip(*(c.to_pylist() for c in batch.columns)):
+        for batch in gathered(batches, 1, CONTEXT_TEXT):
+            runs = batch["runs"].combine_chunks()
+            ends = runs.offsets.to_numpy() - runs.offsets[0].as_py()
+            flat = runs.flatten()
+            anchor, block, place, kind = (flat.field(c) for c in ("anchor", "block", "place", "kind"))
+            places = place.to_numpy()
+            first = (places >> 24) - (places >> 12 & 0xFFF)
+            last = first + (places & 0xFFF) + length
+            ctx = []
+            for k, text in enumerate(batch["text"].to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")
-                cols = [[r[c] for r in runs] for c in ("anchor", "block", "kind", "place")]
-                ctx = []
-                for p in cols[3]:
-                    first = (p >> 24) - (p >> 12 & 0xFFF)
-                    ctx.append(raw[first:first + (p & 0xFFF) + length])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()),
-                     pa.array([row] * len(runs), pa.int64()), pa.array(cols[3], pa.int64()), pa.array(ctx, pa.binary())],
-                    names=["anchor", "block", "kind", "row", "place", "bytes"])
+                ctx.extend(raw[a:b] for a, b in zip(first[ends[k]:ends[k + 1]].tolist(), last[ends[k]:ends[k + 1]].tolist()))
+            rows = pa.array(np.repeat(batch["_row"].to_numpy(), np.diff(ends)))
+            yield pa.RecordBatch.from_arrays([anchor, block, kind, rows, place, pa.array(ctx, pa.binary())], names=names)
 
     return both.select("_row", "text", "runs").mapInArrow(
-        run, "anchor long, block int, kind int, row long, place long, bytes binary")
+        giving_back(run), "anchor long, block int, kind int, row long, place long, bytes binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -357,6 +359,17 @@ def _count(contexts: DataFrame, length: int) -> DataFrame:
     return hit.groupBy("row", "first").agg(F.min("start").alias("lo"), (F.max("start") + length).alias("hi")).select("row", "lo", "hi")
 
 
+def cut(raw: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int]:
+    """``raw`` without the ranges [lo, hi), which may overlap, and their number once joined."""
+    if not len(lo):
+        return raw, 0
+    by = np.argsort(lo, kind="stable")
+    lo, hi = lo[by], np.maximum.accumulate(hi[by])
+    opens = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
+    starts, stops = lo[opens].tolist(), hi[np.append(opens[1:], len(lo)) - 1].tolist()
+    return b"".join(raw[a:b] for a, b in zip([0, *stops], [*starts, len(raw)])), len(starts)
+
+
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` without the bytes that a repeated string covers.
 
@@ -392,28 +405,21 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = ", ".join([f"`{c}` {types[c]}" for c in rest]
                        + ["text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"])
 
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+
     def rewrite(batches):
-        for batch in batches:
+        for batch in gathered(batches, len(rest), SLICE_BYTES):
+            spans = batch["_spans"].combine_chunks()
+            ends = spans.offsets.to_numpy() - spans.offsets[0].as_py()
+            flat = spans.flatten()
+            lo, hi = (flat.field(c).to_numpy() for c in ("lo", "hi"))
             out = []
-            for text, spans in zip(batch.column(len(rest)).to_pylist(), batch.column(len(rest) + 1).to_pylist()):
+            for k, text in enumerate(batch["text"].to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")
-                kept, n = [], 0
-                if spans:
-                    end = -1
-                    for s in sorted((s["lo"], s["hi"]) for s in spans):
-                        if s[0] > end:
-                            kept.append(raw[max(end, 0):s[0]])
-                            n += 1
-                        end = max(end, s[1])
-                    kept.append(raw[end:])
-                    left = b"".join(kept)
-                else:
-                    left = raw
+                left, n = cut(raw, lo[ends[k]:ends[k + 1]], hi[ends[k]:ends[k + 1]])
                 new = text if len(left) == len(raw) else left.decode("utf-8", "ignore")
                 out.append((new, len(raw), len(raw) - len(left), n, hashlib.sha256(left).hexdigest()))
-            cols = list(zip(*out)) if out else [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(len(rest))] + [
-                pa.array(c, k) for c, k in zip(cols, kinds)], names=[*rest, "text", *added])
+            yield pa.RecordBatch.from_arrays([batch.column(k).combine_chunks() for k in range(len(rest))] + [
+                pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[*rest, "text", *added])
 
-    return both.select(*handed, "text", "_spans").mapInArrow(rewrite, schema)
+    return both.select(*handed, "text", "_spans").mapInArrow(giving_back(rewrite), schema)

@@ -105,3 +105,34 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, 12: 10, **{100 + i: 100 for i in range(31)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_documents_with_several_texts_join_their_groups(spark):
+    r = np.random.default_rng(8)
+
+    def near_copy(t):
+        return " ".join(["changed", *t.split()[1:]])
+
+    a, b = prose(11, 60), prose(12, 60)
+    rows = [(1, a), (1, b), (2, near_copy(a)), (3, near_copy(b))]
+    c = [prose(20 + i, 50) for i in range(12)]
+    # documents with up to four texts, each near to another document's
+    for i, t in enumerate(c):
+        rows += [(int(x), t) for x in r.integers(10, 30, r.integers(0, 3))] + [(40 + i, near_copy(t))]
+    got = {x["doc_id"]: x["component_id"] for x in near.groups(docs(spark, rows)).collect()}
+    texts = [t for _, t in rows]
+    up = {d: d for d, _ in rows}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    of = [sets(t, 2) for t in texts]
+    for i, (d, _) in enumerate(rows):
+        for j in range(i):
+            both = len(of[i] & of[j])
+            if 100 * both >= 80 * (len(of[i]) + len(of[j]) - both):
+                x, y = sorted((find(d), find(rows[j][0])))
+                up[y] = x
+    assert got == {d: find(d) for d in up} and got[3] == got[2] == 1
