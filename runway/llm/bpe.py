@@ -30,14 +30,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runway.llm.common import small_batches
+from runway.llm.common import gathered, giving_back
 
 # Fixed value: the published word pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 256
 CHUNK = 8192  # words that advance together
-TABLE_ENTRIES = 300_000  # a worker's tables of encoded words start anew beyond this
-IDLE_ENTRIES = 20_000  # what they keep between tasks, when the worker may serve another stage
+TABLE_BYTES = 96 << 20  # a worker's table of encoded pieces starts anew beyond this
+ENTRY_BYTES = 200  # what an entry takes besides its characters and ids
 SLICE_BYTES = 8 << 20  # characters of text that are worked on at once
 
 _ID_BITS = 20
@@ -88,17 +88,12 @@ class ByteBPE:
         b = self.byte_id
         self.byte_ranks = self._rank(np.repeat(b, 256), np.tile(b, 256))
         self.split = regex.compile(PATTERN).findall
+        # a space beside other white space or at either end, or white space at the end
+        self.runs = re.compile(r"\A | \s|\s |\s\Z").search
         longest = sorted(self.added, key=len, reverse=True)
         self.added_split = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if self.added else None
-        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-
-    def trim(self) -> None:
-        """Keep the words met first, which are the frequent ones; called at a task's end."""
-        for name in ("words", "pieces"):
-            table = getattr(self, name)
-            if len(table) > IDLE_ENTRIES:
-                setattr(self, name, dict(itertools.islice(table.items(), IDLE_ENTRIES)))
+        self.size = 0  # bytes that the pieces take, about
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << _ID_BITS | right
@@ -181,13 +176,9 @@ class ByteBPE:
         return [x for x in ids if x >= 0]
 
     def _words_of(self, lists: list[list[str]]) -> dict[str, bytes]:
-        """A table with every word in ``lists``."""
-        missing = list(set(itertools.chain.from_iterable(lists)).difference(self.words))
-        new = dict(zip(missing, self.merge_words([w.encode("utf-8", "replace") for w in missing])))
-        if len(self.words) + len(new) > TABLE_ENTRIES:
-            self.words, new = {}, {**{w: self.words[w] for x in lists for w in x if w in self.words}, **new}
-        self.words.update(new)
-        return self.words
+        """A table of every word in ``lists``."""
+        words = list(set(itertools.chain.from_iterable(lists)))
+        return dict(zip(words, self.merge_words([w.encode("utf-8", "replace") for w in words])))
 
     def _cut(self, piece: str) -> list[str]:
         """Words of a space and a piece without white space at its ends."""
@@ -204,30 +195,41 @@ class ByteBPE:
             for p in self.added_split.split(text) if self.added_split and any(t in text for t in self.added) else [text]:
                 parts.append(p)
                 of.append(k)
-        cuts = [None if p in self.added else p.split(" ") for p in parts]
-        missing = list(set(itertools.chain.from_iterable(c[1:] for c in cuts if c)).difference(self.pieces))
-        clean = [p for p in missing if p and not p[0].isspace() and not p[-1].isspace()]
-        unclean = set(missing).difference(clean)
-        ends = [c and c[0] and not c[0][-1].isspace() for c in cuts]
-        whole = [bool(c) and len(c) > 1 and (not e or not unclean.isdisjoint(c[1:])) for c, e in zip(cuts, ends)]
-        # words of new pieces, of first pieces, and of texts that go through the pattern as a whole
-        lists = [self._cut(p) for p in clean]
-        lead = [self.split(p if w or len(c) == 1 else c[0]) if c else [] for p, c, w in zip(parts, cuts, whole)]
-        words = self._words_of(lists + lead).__getitem__
-        new = {p: b"".join(map(words, x)) for p, x in zip(clean, lists)}
-        if len(self.pieces) + len(new) > TABLE_ENTRIES:
-            used = set(itertools.chain.from_iterable(c[1:] for c in cuts if c)).intersection(self.pieces)
-            self.pieces = {p: self.pieces[p] for p in used}
+        if self.size > TABLE_BYTES:
+            self.pieces, self.size = {}, 0
+        known, missing = self.pieces.get, set()
+        coded: list[tuple | None] = []  # of each part: what stands before its first space, ids of the pieces behind it, gaps
+        for p in parts:
+            if p in self.added:
+                coded.append(None)
+                continue
+            pieces = [] if self.runs(p) else p.split(" ")
+            if len(pieces) < 2:
+                coded.append((p, [b""], (), ()))  # through the pattern as a whole
+                continue
+            ids = list(map(known, pieces))
+            ids[0] = b""
+            gaps = [at for at, x in enumerate(ids) if x is None]
+            new = [pieces[at] for at in gaps]
+            missing.update(new)
+            coded.append((pieces[0], ids, gaps, new))
+        fresh = list(missing)
+        lists = [self._cut(x) for x in fresh]
+        leads = [self.split(c[0]) if c else [] for c in coded]
+        words = self._words_of(lists + leads).__getitem__
+        new = {x: b"".join(map(words, w)) for x, w in zip(fresh, lists)}
         self.pieces.update(new)
-        inner = self.pieces.__getitem__
+        self.size += sum(map(len, new)) + sum(map(len, new.values())) + ENTRY_BYTES * len(new)
         out: list[list[bytes]] = [[] for _ in texts]
-        for p, c, x, w, k in zip(parts, cuts, lead, whole, of):
+        for p, c, lead, k in zip(parts, coded, leads, of):
             if c is None:
                 out[k].append(int(self.added[p]).to_bytes(4, "little"))
-            else:
-                out[k].extend(map(words, x))
-                if not w:
-                    out[k].extend(map(inner, c[1:]))
+                continue
+            _, ids, gaps, pieces = c
+            for at, x in zip(gaps, pieces):
+                ids[at] = new[x]
+            ids[0] = b"".join(map(words, lead))
+            out[k].append(b"".join(ids))
         return [b"".join(x) for x in out]
 
     def decode(self, packed: bytes) -> str:
@@ -274,20 +276,16 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool
     def run(batches):
         coder = bpe(path)
         sha = hashlib.sha256
-        for batch in batches:
-            doc_ids, at = batch.column(0), 0
-            for texts in slices([t or "" for t in batch.column(1).to_pylist()]):
-                packed = coder.encode_many(texts)
-                decoded = [coder.decode(p) for p in packed]
-                cols = [doc_ids.slice(at, len(texts)), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                        pa.array([sha(p).hexdigest() for p in packed], pa.string()),
-                        pa.array([sha(d.encode("utf-8")).hexdigest() for d in decoded], pa.string())]
-                if with_ids:
-                    cols += [pa.array([np.frombuffer(p, "<i4") for p in packed], pa.list_(pa.int32())),
-                             pa.array(decoded, pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(cols, names=names[:len(cols)])
-                at += len(texts)
-        coder.trim()
-
-    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+        for rows in gathered(batches, 1, SLICE_BYTES):
+            packed = coder.encode_many([t or "" for t in rows["text"].to_pylist()])
+            decoded = [coder.decode(p) for p in packed]
+            cols = [rows["doc_id"].combine_chunks(), pa.array([len(p) // 4 for p in packed], pa.int64()),
+                    pa.array([sha(p).hexdigest() for p in packed], pa.string()),
+                    pa.array([sha(d.encode("utf-8")).hexdigest() for d in decoded], pa.string())]
+            if with_ids:
+                cols += [pa.array([np.frombuffer(p, "<i4") for p in packed], pa.list_(pa.int32())),
+                         pa.array(decoded, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(cols, names=names[:len(cols)])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(giving_back(run), schema)

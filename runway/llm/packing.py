@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runway.llm.bpe import bpe, default_tokenizer, slices
-from runway.llm.common import small_batches, stage
+from runway.llm.bpe import SLICE_BYTES, bpe, default_tokenizer
+from runway.llm.common import gathered, giving_back, stage
 
 CAPACITY = 1024
 END_ID = 2
@@ -200,24 +200,20 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         coder, end = bpe(tokenizer), int(end_id).to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
-        for batch in batches:
-            ids, at = batch.column(0).to_pylist(), 0
-            for texts in slices([t or "" for t in batch.column(1).to_pylist()]):
-                rows = []
-                for doc_id, packed in zip(ids[at:at + len(texts)], coder.encode_many(texts)):
-                    packed += end
-                    for k, (start, length) in enumerate(cut_lengths(len(packed) // 4, capacity)):
-                        crc = zlib.crc32(packed[4 * start:4 * (start + length)])
-                        rows.append((doc_id, k, start, length, crc, part, int(seen[length])))
-                        seen[length] += 1
-                at += len(texts)
-                cols = list(zip(*rows))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
-        coder.trim()
+        for texts in gathered(batches, 1, SLICE_BYTES):
+            rows = []
+            for doc_id, packed in zip(texts["doc_id"].to_pylist(), coder.encode_many([t or "" for t in texts["text"].to_pylist()])):
+                packed += end
+                for k, (start, length) in enumerate(cut_lengths(len(packed) // 4, capacity)):
+                    crc = zlib.crc32(packed[4 * start:4 * (start + length)])
+                    rows.append((doc_id, k, start, length, crc, part, int(seen[length])))
+                    seen[length] += 1
+            cols = list(zip(*rows))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(giving_back(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,

@@ -32,7 +32,7 @@ def test_same_ids_and_text_as_the_library(spark, known):
 
 
 def test_tables_start_anew_when_full(monkeypatch, known):
-    monkeypatch.setattr(bpe, "TABLE_ENTRIES", 50)
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 10_000)
     coder = bpe.ByteBPE(bpe.default_tokenizer())
     texts = [prose(i, 60) for i in range(12)]
     for part in (texts[:4], texts[4:8], texts[2:]):
