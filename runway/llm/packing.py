@@ -23,17 +23,21 @@ however frequent, is numbered in one task.
 from __future__ import annotations
 
 import bisect
+import functools
+import json
 import zlib
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runway.llm.bpe import SLICE_BYTES, bpe, default_tokenizer
+from runway.llm.bpe import PATTERN, SLICE_BYTES, bpe, byte_alphabet, default_tokenizer
 from runway.llm.common import gathered, giving_back, stage
 
 CAPACITY = 1024
@@ -41,9 +45,56 @@ END_ID = 2
 GROUPS = 640  # cardinality groups of the large lengths
 SMALL = 1 / 5  # lengths up to this share of the capacity are small
 
+STRIDE = 500  # a text with such a stretch of characters without a space, or of white space alone, goes another way
+
 Run = tuple[int, int, int, int, int]  # length, first rank, count, first sequence, offset
 
 
+class Ids:
+    """Ids of texts by merge ranks, read from a byte-level tokenizer file.
+
+    The rank of a token is the place of its merge, which the rank encoder
+    turns into the ids that the file's own library gives; single bytes come
+    first. Its time grows with the square of a word, so a text with a very long
+    run goes through the operator of ``llm/bpe.py``, and so does one that holds
+    an added token. Both ways give the same ids.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letters, vocab = byte_alphabet(), spec["model"]["vocab"]
+        tokens = list(letters)
+        for merge in spec["model"]["merges"]:
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            tokens.append(left + right)
+        ranks: dict[bytes, int] = {}
+        for rank, token in enumerate(tokens):
+            ranks.setdefault(bytes(letters[c] for c in token), rank)
+        self.path = path
+        self.id_of = np.array([vocab[t] for t in tokens], dtype="<u4")
+        self.encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+
+    def odd(self, text: str) -> bool:
+        """True for every run of twice ``STRIDE``, which fills one of the stretches looked at."""
+        return any(t in text for t in self.added) or any(
+            text.find(" ", at, at + STRIDE) < 0 or text[at:at + STRIDE].isspace()
+            for at in range(0, len(text) - STRIDE + 1, STRIDE))
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers."""
+        if self.odd(text):
+            return bpe(self.path).encode_many([text])[0]
+        return self.id_of[np.frombuffer(array("I", self.encode(text)), dtype=np.uint32)].tobytes()
+
+
+@functools.lru_cache(maxsize=2)
+def ids_by(path: str) -> Ids:
+    """One encoder per worker process and file."""
+    return Ids(path)
+
+
 def cut_lengths(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens; only the first may be short."""
     if n <= capacity:
@@ -197,12 +248,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
     def run(batches):
-        coder, end = bpe(tokenizer), int(end_id).to_bytes(4, "little")
+        coder, end = ids_by(tokenizer), int(end_id).to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for texts in gathered(batches, 1, SLICE_BYTES):
             rows = []
-            for doc_id, packed in zip(texts["doc_id"].to_pylist(), coder.encode_many([t or "" for t in texts["text"].to_pylist()])):
+            for doc_id, packed in zip(texts["doc_id"].to_pylist(), (coder.packed(t.as_py() or "") for t in texts["text"])):
                 packed += end
                 for k, (start, length) in enumerate(cut_lengths(len(packed) // 4, capacity)):
                     crc = zlib.crc32(packed[4 * start:4 * (start + length)])

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -53,6 +54,18 @@ def test_codec_nulls_repeats_extra_columns_empty(spark):
     assert bpe.encode_decode(docs(spark, [])).count() == 0
 
 
+def test_rank_encoder_gives_the_ids_of_the_library(known):
+    coder = packing.ids_by(bpe.default_tokenizer())
+    draw = random.Random(5)
+    pools = ["etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz ", "ABCab 019.,'-\n\t", "éüßñçøåäöœ", "абвгдежз ий", "日本語中文字。 ", "🙂🙃\u200d❤️ "]
+    texts = ["".join(draw.choices(draw.choice(pools), k=draw.randint(1, 40))) for _ in range(20_000)]
+    texts += [t or "" for t in TEXTS] + [prose(i, 300) for i in range(40)]
+    texts += ["x" * 5000 + " y", "a" + " " * 3000 + "b", "\n" * 1500, "語" * 1200, "no end" * 400]
+    assert any(map(coder.odd, texts)) and not all(map(coder.odd, texts))
+    for t, e in zip(texts, known.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(coder.packed(t), "<u4").tolist() == e.ids, t
+
+
 def check_packing(rows, capacity):
     seqs = {}
     for r in rows:
