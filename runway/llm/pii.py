@@ -26,7 +26,6 @@ from __future__ import annotations
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from runway.llm.common import stage
@@ -237,15 +236,22 @@ def _place(body: Column, new: Column, letters: Column, attempt: Column) -> Colum
 
 def _found(docs: DataFrame) -> DataFrame:
     """Adds _gaps (text between mentions, as pieces and the bare names between
-    them), _parsed and _names (the document's name tokens); null where there is
+    them), _parsed and _names (a map of the document's name tokens); null where there is
     no mention."""
     hinted = F.when(F.col("text").rlike(HINT), F.expr(f"regexp_extract_all(text, r'{_sql(PATTERN)}', 0)"))
     df = docs.withColumn("_mentions", hinted)
     has = F.size("_mentions") > 0
     df = (df.withColumn("_between", F.when(has, F.split("text", PATTERN, -1)))
           .withColumn("_parsed", F.when(has, F.transform("_mentions", _parse))).drop("_mentions"))
-    df = df.withColumn("_names", F.array_distinct(F.flatten(F.transform("_parsed", _name_tokens))))
-    df = df.withColumn("_bare", F.when(F.size("_names") > 0, _bare_pattern(F.col("_names"))))
+    # a token as written or in capitals, its kind and form; of a spelling's several the first counts
+    tokens = F.flatten(F.transform("_parsed", _name_tokens))
+    df = df.withColumn("_spelt", F.array_sort(F.flatten(F.transform(tokens, lambda x, i: F.transform(
+        F.array(x["token"], F.upper(x["token"])),
+        lambda t: F.struct(t.alias("token"), i.alias("at"), x["kind"].alias("kind"), x["form"].alias("form")))))))
+    df = df.withColumn("_spelt", F.filter("_spelt", lambda x, i: (i == 0) | (
+        F.get(F.col("_spelt"), i - 1)["token"] != x["token"])))
+    df = df.withColumn("_names", F.map_from_arrays(F.transform("_spelt", lambda x: x["token"]), "_spelt"))
+    df = df.withColumn("_bare", F.when(F.size("_spelt") > 0, _bare_pattern(F.col("_spelt")))).drop("_spelt")
 
     def pieces(gap: Column) -> Column:
         bare = F.col("_bare")
@@ -267,8 +273,7 @@ def _name_tokens(p: Column) -> Column:
 
 def _bare_pattern(names: Column) -> Column:
     """A pattern of a document's name tokens (letters, apostrophes, hyphens), longest first."""
-    spelt = F.array_distinct(F.flatten(F.transform(names, lambda x: F.array(x["token"], F.upper(x["token"])))))
-    spelt = F.array_sort(spelt, lambda a, b: F.length(b) - F.length(a))
+    spelt = F.array_sort(F.transform(names, lambda x: x["token"]), lambda a, b: F.length(b) - F.length(a))
     return F.concat(F.lit(_BEFORE + r"(?=\p{Lu})(?:"), F.array_join(spelt, "|"), F.lit(")" + _AFTER))
 
 
@@ -290,13 +295,16 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
     state = stage(entities.withColumn("attempt", F.lit(0)).withColumn(
         "new", _surrogate(key, F.col("kind"), F.col("form"), F.col("attempt"))), "surrogates")
     # a listed name's place is fixed, so it wins every tie; the others can move on
-    first = F.row_number().over(W.partitionBy("kind", "new").orderBy(
-        (~_listed(F.col("kind"), F.col("form"))).cast("int"), "attempt", "form"))
+    order = F.struct((~_listed(F.col("kind"), F.col("form"))).cast("int").alias("late"), "attempt", "form")
     # ends: from FREE_FORM on each attempt has more values than the last, up to 64 keyed characters
     for n in count():
-        judged = state.join(forms, ["kind", "new"], "left").withColumn("nth", first)
+        # many entities draw the same listed value: the first of them comes from partial
+        # minima, and a row of each value meets its entities
+        best = stage(state.groupBy("kind", "new").agg(F.min(order)["form"].alias("best"))
+                     .join(forms, ["kind", "new"], "left"), f"best{n}")
+        judged = state.join(best, ["kind", "new"])
         # where a listed name is given out only uniqueness counts
-        loses = (F.col("nth") > 1) | (F.col("taken").isNotNull() & ~_listed(F.col("kind"), F.col("new")))
+        loses = (F.col("form") != F.col("best")) | (F.col("taken").isNotNull() & ~_listed(F.col("kind"), F.col("new")))
         judged = stage(judged.select("kind", "form", "attempt", "new", loses.alias("loses")), f"round{n}")
         if judged.where("loses").isEmpty():
             break
@@ -304,7 +312,7 @@ def changed_attempts(found: DataFrame, key: str) -> DataFrame:
         # surrogate would be read inside its lambdas in place of the input's column
         moved = judged.withColumn("next", F.when(F.col("loses"), F.col("attempt") + 1).otherwise(F.col("attempt")))
         drawn = F.when(F.col("loses"), _surrogate(key, F.col("kind"), F.col("form"), F.col("next"))).otherwise(F.col("new"))
-        state = stage(moved.select("kind", "form", F.col("next").alias("attempt"), drawn.alias("new")), f"state{n}")
+        state = moved.select("kind", "form", F.col("next").alias("attempt"), drawn.alias("new"))
     return state.where("attempt > 0").select("kind", "form", "attempt")
 
 
@@ -350,8 +358,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def bare(word: Column) -> Column:
         # a token of several kinds in one document: the first one's
-        same = F.filter("_names", lambda x: (x["token"] == word) | (F.upper(x["token"]) == word))
-        return _let(F.get(same, F.lit(0)), lambda u: replaced(u, word))
+        return _let(F.try_element_at("_names", word), lambda u: replaced(u, word))
 
     def between(g: Column) -> Column:
         return F.array_join(F.transform(g["pieces"], lambda x, i: F.concat(
