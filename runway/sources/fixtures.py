@@ -138,10 +138,17 @@ def _memo(spark: SparkSession, key: str, build):
     return df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a fixture's source table over the shuffle partitions,
-    as its file is a single row group, which scans as one task."""
-    return df.repartition(F.col(df.columns[0]))
+DEALT_ROWS = 500_000  # source rows a task derives: as flights they take some 250 MB
+
+
+def spread(df: DataFrame, rows: int = DEALT_ROWS) -> DataFrame:
+    """Deal the rows of a fixture's source table over tasks, as its file may be a single
+    row group, which scans as one task. Adaptive execution sizes tasks by the narrow rows
+    that are dealt, the derived ones are ten times as wide: a large table (its rows are
+    counted from the footer) is dealt over tasks of about ``rows`` rows."""
+    tasks = df.count() // rows + 1
+    key = F.col(df.columns[0])
+    return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else df.repartition(key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -233,7 +240,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (spark.sparkContext.applicationId, f"silver:{sf_dir}")
     if k not in _CACHE:
         if not _exists(spark, f"{root}/_SUCCESS"):
-            dq.clean(dq.flag(flights(spark, sf_dir))).write.mode("overwrite").parquet(root)
+            # no wide row is shuffled but those that may have a copy
+            dq.clean_by_digest(dq.flag(flights(spark, sf_dir))).write.mode("overwrite").parquet(root)
         _CACHE[k] = root
     return spark.read.parquet(_CACHE[k])
 
@@ -342,7 +350,7 @@ def bronze_root(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
     if k not in _CACHE:
         if not _exists(spark, f"{root}/_SUCCESS"):
             raw = derive_flights(spread(table(spark, sf_dir, "lineitem")))
-            write_partitioned(raw, root, ("year", "month"), fmt)
+            write_partitioned(raw, root, ("year", "month"), fmt, compression="gzip" if fmt == "csv" else None)
         _CACHE[k] = root
     return _CACHE[k]
 
