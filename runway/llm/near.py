@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runway.llm.bpe import slices
-from runway.llm.common import giving_back, small_batches, stage
+from runway.llm.common import few_tasks, giving_back, small_batches, stage
 from runway.llm.components import components
 from runway.llm.shingles import mix, shingle_sets
 
@@ -319,48 +319,49 @@ def groups(docs: DataFrame, percent: int = 80, k: int = 2) -> DataFrame:
     columns are ignored.
     """
     made = stage(profiles(docs, k), "profiles")
+    tasks = few_tasks(made)
     some = made.where("doc_id IS NOT NULL AND n_shingles > 0")
     # a class is named by a number of its own; one of its texts, by id and hash, stands for it
     classes = some.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "of_text")).alias("own"))
     classes = stage(classes.select("f1", "f2", F.col("own.doc_id").alias("least"), F.col("own.of_text").alias("least_text"),
-                                   F.monotonically_increasing_id().alias("rep")), "classes")
+                                   F.monotonically_increasing_id().alias("rep")), "classes", tasks)
     reps = some.join(classes, ["f1", "f2"]).where("doc_id = least AND of_text = least_text").dropDuplicates(["rep"])
-    reps = stage(reps.select("rep", "least", "least_text", F.col("n_shingles").alias("n"), "sig", "bands"), "representatives")
+    reps = stage(reps.select("rep", "least", "least_text", F.col("n_shingles").alias("n"), "sig", "bands"), "representatives", tasks)
 
     banded = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     hubs = banded.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count(F.lit(1)).alias("members")).where(
         "members > 1")
     mates = stage(banded.join(hubs, "bucket").select(
-        "bucket", "members", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "mates")
+        "bucket", "members", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "mates", tasks)
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("least"), F.xxhash64(text).alias("least_text"), text.alias("text")).join(
         reps.select("rep", "least", "least_text").join(mates.select("rep").distinct(), "rep"), ["least", "least_text"]).select(
         "rep", "text").dropDuplicates(["rep"])
-    texts = stage(texts, "mate-texts")
+    texts = stage(texts, "mate-texts", tasks)
 
     stars = mates.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"), F.col("hub_n").alias("na"),
                                              F.col("n").alias("nb")).where(_close(percent)).distinct()
-    links = stage(_verified(stage(_pruned(stars, reps, percent), "star-pairs"), texts, percent, k), "star-links")
-    roots = stage(components(links), "roots")
+    links = stage(_verified(stage(_pruned(stars, reps, percent), "star-pairs", tasks), texts, percent, k), "star-links", tasks)
+    roots = stage(components(links, tasks), "roots", tasks)
 
     placed = mates.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
         "bucket", "members", "rep", "n", "hub", F.coalesce("root", "rep").alias("comp"))
-    placed = stage(placed, "placed")
+    placed = stage(placed, "placed", tasks)
     split = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     open_ = placed.join(split, "bucket").join(reps.select("rep", "sig"), "rep")
-    found = stage(_candidates(open_, percent), "candidates")
-    clusters = components(found.where(F.col("kind") == FOREST).select("a", "b"))
+    found = stage(_candidates(open_, percent), "candidates", tasks)
+    clusters = components(found.where(F.col("kind") == FOREST).select("a", "b"), tasks)
     members = found.where(F.col("kind") == MEMBER).select(F.col("a").alias("rep"), F.col("b").alias("comp")).distinct().join(
         clusters.select(F.col("node").alias("comp"), F.col("root").alias("cluster")), "comp")
-    members = stage(members, "members")
-    sizes = stage(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")), "cluster-sizes")
+    members = stage(members, "members", tasks)
+    sizes = stage(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")), "cluster-sizes", tasks)
     rows = members.join(sizes, "cluster").join(reps.select("rep", "n", "sig"), "rep").join(texts, "rep")
-    more = stage(_linked(rows, percent, k), "cluster-links")
+    more = stage(_linked(rows, percent, k), "cluster-links", tasks)
     # a document whose rows have several texts joins the groups of all of them
     same = some.join(classes, ["f1", "f2"]).select("doc_id", "rep").distinct()
     first = same.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z").select("doc_id", "a")
     several = same.join(first, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
-    roots = stage(components(links.unionAll(more).unionAll(several)), "components")
+    roots = stage(components(links.unionAll(more).unionAll(several), tasks), "components", tasks)
     # a component is named by its smallest document
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep").groupBy("root").agg(F.min("least").alias("component"))
     of_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").join(named, "root", "left").select(

@@ -136,3 +136,23 @@ def test_documents_with_several_texts_join_their_groups(spark):
                 x, y = sorted((find(d), find(rows[j][0])))
                 up[y] = x
     assert got == {d: find(d) for d in up} and got[3] == got[2] == 1
+
+
+def test_stars_are_components_at_once(spark, monkeypatch):
+    from runway.llm import components as module
+
+    made = []
+    stored = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, tag, *rest: made.append(tag) or stored(df, tag, *rest))
+    links = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (7, 2), (9, 9)], "a long, b long")
+    assert {r["node"]: r["root"] for r in components(links).collect()} == {1: 1, 5: 1, 6: 1, 2: 2, 7: 2}
+    assert made == ["links"]
+
+
+def test_a_stored_step_has_few_files(spark):
+    from runway.llm.common import few_tasks, stage
+
+    rows = spark.range(1000).repartition(200, "id")
+    made = stage(rows, "few", 3)
+    assert len(made.inputFiles()) <= 3 and made.count() == 1000
+    assert few_tasks(made, rows=100) == 4 * spark.sparkContext.defaultParallelism + 10
