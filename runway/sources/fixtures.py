@@ -13,7 +13,7 @@ division and the ISO weekday differ in spelling (``SPARK`` / ``DUCKDB``).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPARK = {"DIV": "div", "DOW": "weekday(d) + 1"}
@@ -357,13 +357,13 @@ def bronze_root(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> str:
 
 # ------------------------------------------------------------ landing archives
 
-def _zip_writer(root: str, name, header, row, member):
-    """A task's function that writes one archive for each run of equal keys in its rows."""
+def _zip_writer(root: str, header, member):
+    """A task's function that writes one archive for each run of equal names in its (name, line) rows."""
     def write(batches):
-        import csv
-        import io
         import zipfile
 
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyarrow import fs as pafs
 
         from runway.sources.landing import uri
@@ -375,46 +375,52 @@ def _zip_writer(root: str, name, header, row, member):
 
         def close():
             if archive is not None:
-                lines.flush()
-                lines.detach().close()
+                lines.close()
                 archive.close()
 
-        for pdf in batches:
-            for r in pdf.to_dict("records"):
-                if (own := name(r)) != key:
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column("name"), run_end_type=pa.int32())
+            start = 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if name != key:
                     close()
-                    key = own
-                    archive = zipfile.ZipFile(system.open_output_stream(f"{folder}/{key}.zip"), "w", zipfile.ZIP_DEFLATED)
-                    lines = io.TextIOWrapper(archive.open(member(r), "w", force_zip64=True), "utf-8", newline="")
-                    out = csv.writer(lines, lineterminator="\n")
-                    out.writerow(header(r))
+                    key = name
+                    archive = zipfile.ZipFile(system.open_output_stream(f"{folder}/{key}.zip"), "w", zipfile.ZIP_DEFLATED, compresslevel=1)
+                    lines = archive.open(member(key), "w", force_zip64=True)
+                    lines.write((",".join(header(key)) + "\n").encode())
                     done.append(key)
-                out.writerow(row(r))
+                own = batch.column("line").slice(start, end - start).to_pylist()
+                lines.write(("\n".join(own) + "\n").encode())
+                start = end
         close()
-        import pandas as pd
-        yield pd.DataFrame({"archive": done})
+        yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["archive"])
 
     return write
 
 
-def write_flight_archives(raw: DataFrame, root: str) -> None:
-    """A zip archive a month with the flights as CSV, written by tasks. Months of even
-    number hold the columns in reverse, in upper case, and one more."""
-    import pandas as pd
-
-    cols = raw.columns
+def _csv_text(c: Column) -> Column:
+    """A text as a field of CSV: quoted where it must be."""
+    return F.when(c.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
 
-    def even(r):
-        return int(r["month"]) % 2 == 0
 
-    def text(v):
-        return "" if v is None or v is pd.NaT or v != v else str(v)
+def write_flight_archives(raw: DataFrame, root: str) -> None:
+    """A zip archive a month with the flights as CSV, written by tasks: Spark makes the
+    lines, and a task's Python only packs them. Months of even number hold the columns in
+    reverse, in upper case, and one more."""
+    cols = raw.columns
 
-    dealt = raw.select(*[F.col(c).cast("string").alias(c) for c in cols]).repartition("year", "month").sortWithinPartitions("year", "month")
-    dealt.mapInPandas(_zip_writer(
-        root, lambda r: f"flights-{r['year']}-{r['month']}", lambda r: ["REMARK", *[c.upper() for c in reversed(cols)]] if even(r) else cols,
-        lambda r: ["x, y", *[text(r[c]) for c in reversed(cols)]] if even(r) else [text(r[c]) for c in cols],
-        lambda r: "On_Time.CSV" if even(r) else "on_time.csv"), "archive string").write.format("noop").mode("overwrite").save()
+    def even(name):
+        return int(name.rsplit("-", 1)[1]) % 2 == 0
+
+    # texts are made after the shuffle and the sort, which move the narrower typed rows
+    dealt = raw.repartition("year", "month").sortWithinPartitions("year", "month")
+    texts = [F.coalesce(_csv_text(F.col(c)) if t == "string" else F.col(c).cast("string"), F.lit("")) for c, t in raw.dtypes]
+    lines = dealt.select(
+        F.concat(F.lit("flights-"), F.col("year").cast("string"), F.lit("-"), F.col("month").cast("string")).alias("name"),
+        F.when(F.col("month") % 2 == 0, F.concat_ws(",", F.lit('"x, y"'), *reversed(texts))).otherwise(F.concat_ws(",", *texts)).alias("line"))
+    lines.mapInArrow(_zip_writer(
+        root, lambda name: ["REMARK", *[c.upper() for c in reversed(cols)]] if even(name) else cols,
+        lambda name: "On_Time.CSV" if even(name) else "on_time.csv"), "archive string").write.format("noop").mode("overwrite").save()
 
 
 def write_nation_archives(nation: DataFrame, customer: DataFrame, root: str) -> None:

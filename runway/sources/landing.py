@@ -5,8 +5,9 @@ source API): one partition per archive, whose first ``.csv`` member
 (case-insensitive) is streamed from an open handle, so a task holds one chunk of
 rows whatever the archive's size. Quoted commas and line breaks are data. Each
 row carries its archive's own header, so archives may order their columns
-differently; Spark then picks every schema column by name and casts it. Sizes
-come from the zip directory at the archive's end: checking them extracts nothing.
+differently. ``read_landing`` has each archive's task pick the schema's columns by
+name, a chunk at a time and column by column, as looking names up in every row
+costs several times the parsing; Spark then casts them. Sizes come from the zip directory at the archive's end: checking them extracts nothing.
 Text that is no UTF-8 is replaced and counted (``bad_chars``).
 
 The handle comes from pyarrow's file systems (local, HDFS and object stores).
@@ -21,10 +22,11 @@ import io
 import json
 import re
 import zipfile
+from itertools import islice
 from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
+from pyarrow import csv as pacsv
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +36,10 @@ from runway.operators.state import MIN_FILE_SIZE
 from runway.sources.schema import FLIGHTS_SCHEMA, conform
 
 CHUNK_ROWS = 2000  # CSV rows a task holds at once
+BLOCK = 1 << 20  # bytes of CSV that Arrow's parser takes at once
 ROW_SCHEMA = "path string, row_no long, names array<string>, fields array<string>, bad_chars long"
 SIZE_SCHEMA = "path string, csv_bytes long, error string"
-ROWS, SIZES = "rows", "sizes"
+ROWS, SIZES, COLUMNS = "rows", "sizes", "columns"
 
 
 def uri(path: str) -> str:
@@ -70,25 +73,70 @@ def _size(path: str, handle) -> tuple[str, int, str | None]:
     return path, info.file_size if info else 0, error
 
 
-def _rows(path: str, handle):
-    """CSV rows of an archive, a chunk at a time, with its header."""
+def _chunks(handle, skip: int = 0):
+    """(header, numbered CSV rows) of an archive, a chunk at a time, after ``skip`` rows."""
     archive, info, error = _member(handle)
     if error:
         return
     with archive.open(info) as raw:
         lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline=""))
         names = [c.strip().lower() for c in next(lines, [])]
-        chunk = []
-        for n, fields in enumerate(lines, 1):
-            if not fields:
-                continue
-            bad = sum(f.count("\ufffd") for f in fields)
-            chunk.append((path, n, names, [f if f != "" else None for f in fields], bad))
-            if len(chunk) >= CHUNK_ROWS:
-                yield chunk
-                chunk = []
-        if chunk:
-            yield chunk
+        numbered = islice(((n, fields) for n, fields in enumerate(lines, 1) if fields), skip, None)
+        while chunk := list(islice(numbered, CHUNK_ROWS)):
+            yield names, chunk
+
+
+def _rows(path: str, handle):
+    """CSV rows of an archive, a chunk at a time, with its header."""
+    for names, chunk in _chunks(handle):
+        yield [(path, n, names, [f if f != "" else None for f in fields], sum(f.count("\ufffd") for f in fields))
+               for n, fields in chunk]
+
+
+def _parsed(handle, columns: list[str]):
+    """``_columns`` by Arrow's parser. What ``csv`` reads otherwise or more leniently raises
+    ``ArrowInvalid``: rows of another width, text that is no UTF-8, a quote inside a field."""
+    archive, info, error = _member(handle)
+    if error:
+        return
+    with archive.open(info) as raw:
+        names = [c.strip().lower() for c in next(csv.reader(io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline="")), [])]
+    if len(names) < 2:
+        raise pa.ArrowInvalid("no header of several columns")
+    own = [str(i) for i in range(len(names))]
+    at = {c: str(names.index(c)) for c in columns if c in names}
+    if not at:
+        raise pa.ArrowInvalid("none of the columns")
+    with archive.open(info) as raw:
+        found = pacsv.open_csv(
+            raw, pacsv.ReadOptions(use_threads=False, block_size=BLOCK, column_names=own, skip_rows_after_names=1),
+            pacsv.ParseOptions(newlines_in_values=True),
+            pacsv.ConvertOptions(column_types=dict.fromkeys(own, pa.string()), include_columns=sorted(set(at.values()), key=int),
+                                 strings_can_be_null=True, quoted_strings_can_be_null=True, null_values=[""]))
+        schema = pa.schema([(c, pa.string()) for c in columns])
+        for batch in found:
+            arrays = [batch.column(at[c]) if c in at else pa.nulls(len(batch), pa.string()) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def _columns(handle, columns: list[str]):
+    """The named columns of an archive's rows, a chunk at a time; an empty field and one
+    that the row or the archive lacks is NULL."""
+    done = 0
+    try:
+        for batch in _parsed(handle, columns):
+            yield batch
+            done += len(batch)
+        return
+    except pa.ArrowInvalid:  # the rest row by row
+        pass
+    schema = pa.schema([(c, pa.string()) for c in columns])
+    for names, chunk in _chunks(handle, done):
+        width = len(names)
+        rows = [f if len(f) == width else (f + [""] * width)[:width] for _, f in chunk]
+        fields = [[f or None for f in column] for column in zip(*rows)]
+        arrays = [pa.array(fields[names.index(c)], pa.string()) if c in names else pa.nulls(len(rows), pa.string()) for c in columns]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 _ARROW = {ROWS: pa.schema([("path", pa.string()), ("row_no", pa.int64()), ("names", pa.list_(pa.string())),
@@ -100,36 +148,48 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def _batches(path: str, handle, what: str, columns: list[str]):
+    if what == COLUMNS:
+        yield from _columns(handle, columns)
+    else:
+        for chunk in [[_size(path, handle)]] if what == SIZES else _rows(path, handle):
+            yield _batch(chunk, _ARROW[what])
+
+
+def _shape(what: str, columns: list[str]) -> str:
+    """The schema of what is read."""
+    return ROW_SCHEMA if what == ROWS else SIZE_SCHEMA if what == SIZES else ", ".join(f"`{c}` string" for c in columns)
+
+
 class ZippedCsv(DataSource):
     """``spark.read.format("zipped_csv")``. Options: ``archives`` (a JSON list of paths) and
-    ``what``: ``rows`` of the first CSV member, or ``sizes`` from the directories."""
+    ``what``: ``rows`` of the first CSV member, its ``columns`` of the names in the option
+    ``columns`` (a JSON list), or ``sizes`` from the directories."""
 
     @classmethod
     def name(cls) -> str:
         return "zipped_csv"
 
+    def _asked(self) -> tuple[str, list[str]]:
+        return self.options.get("what", ROWS), json.loads(self.options.get("columns", "[]"))
+
     def schema(self) -> str:
-        return ROW_SCHEMA if self.options.get("what", ROWS) == ROWS else SIZE_SCHEMA
+        return _shape(*self._asked())
 
     def reader(self, schema) -> DataSourceReader:
-        return _Archives(json.loads(self.options["archives"]), self.options.get("what", ROWS))
+        return _Archives(json.loads(self.options["archives"]), *self._asked())
 
 
 class _Archives(DataSourceReader):
-    def __init__(self, paths: list[str], what: str):
-        self.paths, self.what = paths, what
+    def __init__(self, paths: list[str], what: str, columns: list[str]):
+        self.paths, self.what, self.columns = paths, what, columns
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition):
-        path, schema = partition.value, _ARROW[self.what]
-        with open_file(path) as handle:
-            if self.what == SIZES:
-                yield _batch([_size(path, handle)], schema)
-            else:
-                for chunk in _rows(path, handle):
-                    yield _batch(chunk, schema)
+        with open_file(partition.value) as handle:
+            yield from _batches(partition.value, handle, self.what, self.columns)
 
 
 def _opened(path: str) -> bool:
@@ -140,27 +200,27 @@ def _opened(path: str) -> bool:
         return False
 
 
-def _read(spark: SparkSession, root: str, glob: str, what: str) -> DataFrame:
+def _read(spark: SparkSession, root: str, glob: str, what: str, columns: list[str] = ()) -> DataFrame:
     paths = [r.path for r in archive_inventory(spark, root, glob).select("path").orderBy("path").collect()]  # a row an archive
+    columns = list(columns)
     if not paths:
-        return spark.createDataFrame([], ROW_SCHEMA if what == ROWS else SIZE_SCHEMA)
+        return spark.createDataFrame([], _shape(what, columns))
     if not _opened(paths[0]):
-        return _through_spark(spark, root, glob, what)
+        return _through_spark(spark, root, glob, what, columns)
     spark.dataSource.register(ZippedCsv)
-    return spark.read.format("zipped_csv").option("archives", json.dumps(paths)).option("what", what).load()
+    return (spark.read.format("zipped_csv").option("archives", json.dumps(paths)).option("what", what)
+            .option("columns", json.dumps(columns)).load())
 
 
-def _through_spark(spark: SparkSession, root: str, glob: str, what: str) -> DataFrame:
+def _through_spark(spark: SparkSession, root: str, glob: str, what: str, columns: list[str] = ()) -> DataFrame:
     """The same from archives that only Spark can read, each in memory."""
     def run(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                handle = io.BytesIO(content)
-                for rows in ([[_size(path, handle)]] if what == SIZES else _rows(path, handle)):
-                    yield pd.DataFrame(rows, columns=_ARROW[what].names)
+        for found in batches:
+            for path, content in zip(found.column("path"), found.column("content")):
+                yield from _batches(path.as_py(), pa.BufferReader(content.as_buffer()), what, columns)
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root))
-    return files.select("path", "content").mapInPandas(run, ROW_SCHEMA if what == ROWS else SIZE_SCHEMA)
+    return files.select("path", "content").mapInArrow(run, _shape(what, columns))
 
 
 def archive_inventory(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
@@ -188,7 +248,4 @@ def landing_outcomes(spark: SparkSession, root: str, min_size: int = MIN_FILE_SI
 def read_landing(spark: SparkSession, root: str, schema=FLIGHTS_SCHEMA, glob: str = "*.zip") -> DataFrame:
     """Flight rows of all archives: each schema column by its name in the archive's own
     header (NULL where the archive lacks it or the field is empty), cast to its type."""
-    rows = archive_rows(spark, root, glob)
-    named = [F.get("fields", (F.array_position("names", f.name) - 1).cast("int")) for f in schema.fields]
-    return conform(rows.select(*[
-        F.when(F.array_contains("names", f.name), c).alias(f.name) for f, c in zip(schema.fields, named)]), schema)
+    return conform(_read(spark, root, glob, COLUMNS, schema.names), schema)

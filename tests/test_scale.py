@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
+import zipfile
 
 from conftest import SF001, canon
+from pyspark.sql import functions as F
+
 from runway.operators import dq
 from runway.plans import sinks
 from runway.session import JOB_CONF
 from runway.sources import fixtures as fx
-from runway.sources import scans
+from runway.sources import landing, scans
 from runway.sources.schema import conform
 
 
@@ -48,3 +51,37 @@ def test_silver_shuffles_no_row_without_a_copy(spark, monkeypatch):
     monkeypatch.undo()
     for key in [k for k in fx._CACHE if k[1] == f"silver:{SF001}"]:
         del fx._CACHE[key]
+
+
+def _archive(path, header, lines):
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("f.csv", b"\n".join([header.encode(), *lines]) + b"\n")
+
+
+def test_archive_columns_are_picked_once_a_chunk(monkeypatch, tmp_path):
+    _archive(tmp_path / "a.zip", "ORIGIN,Dest,x", [b'AP1,"a, ""b""",1', b',"two\nlines",2', b'"",AP3,3'])
+
+    def by_row(*_):
+        raise AssertionError("rows were read one by one")
+
+    monkeypatch.setattr(landing, "_chunks", by_row)
+    with open(tmp_path / "a.zip", "rb") as f:
+        rows = [r for b in landing._columns(f, ["dest", "origin", "month"]) for r in b.to_pylist()]
+    assert [tuple(r.values()) for r in rows] == [('a, "b"', "AP1", None), ("two\nlines", None, None), ("AP3", None, None)]
+
+
+def test_odd_archives_give_the_rows_of_the_row_reader(spark, tmp_path):
+    whole = [b"AP1,C%d" % n for n in range(200_000)]  # more than a block before the first odd row
+    for name, odd in {"short": b"AP9", "long": b"AP9,x,y", "text": b"AP\xff,x", "quote": b'A"P,x"', "blank": b"", "cr": b"A\rB,c"}.items():
+        _archive(tmp_path / f"{name}.zip", "origin,dest", [*whole, odd, b'AP2,"d,e"'])
+    got = landing.read_landing(spark, str(tmp_path)).select("origin", "dest")
+    rows = landing.archive_rows(spark, str(tmp_path)).select(F.get("fields", F.lit(0)).alias("origin"), F.get("fields", F.lit(1)).alias("dest"))
+    assert got.count() == rows.count() > 6 * 200_000
+    assert got.exceptAll(rows).isEmpty() and rows.exceptAll(got).isEmpty()
+
+
+def test_flight_archives_hold_texts_that_need_quotes(spark, make_flights, tmp_path):
+    rows = make_flights([{"month": m, "origincityname": 'Q "x", y', "destcityname": "", "distance": None} for m in (4, 5)])
+    fx.write_flight_archives(rows, str(tmp_path))
+    back = landing.read_landing(spark, str(tmp_path))
+    assert canon(back.collect()) == canon(rows.withColumn("destcityname", F.nullif("destcityname", F.lit(""))).select(back.columns).collect())
