@@ -5,9 +5,9 @@
 * metrics      = per (year, month): rows, clean, rejected, dupes, rate
 * breakdown    = firings per rule per (year, month)
 
-Nothing is cached: totals and rejections are one narrow partial aggregate of
-the flagged rows, and the clean counts come from the footers of the partitions
-just written. All months of the input run in the same jobs and replace exactly
+Nothing is cached: total rows are counted from the keys alone, before any rule is
+evaluated, and the clean and rejected counts come from the footers of the
+partitions just written, so the input is read whole by the two writes only. All months of the input run in the same jobs and replace exactly
 their own output: a month whose clean or rejected set became empty loses its
 old partition. The metrics table (the manifest a gap scan reads) is written
 last, after the data commits.
@@ -46,25 +46,35 @@ def of_units(rows: DataFrame, units: DataFrame, keys) -> DataFrame:
     return rows.join(mine, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
 
 
+def _folders(units: list[dict]):
+    """Folder filter of units that are numbers; other values may be written otherwise in a folder's name."""
+    if not all(v is None or isinstance(v, int) for u in units for v in u.values()):
+        return None
+    wanted = {tuple(None if v is None else str(v) for v in u.values()) for u in units}
+    return lambda u: tuple(u.values()) in wanted
+
+
 def run_silver(spark: SparkSession, raw: DataFrame, out_root: str, rules=None, keys=KEYS,
                fmt: str = "parquet") -> SilverResult:
     out_root = out_root.rstrip("/")
     clean_path, rej_path, met_path = f"{out_root}/cleaned", f"{out_root}/rejected", f"{out_root}/_metrics"
     flagged = dq.flag(raw, rules)
-    bad = F.col("rejection_reason").isNotNull()
     # one row a unit: the units, which are few, decide what is replaced
-    totals = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).collect()
+    totals = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).collect()
     units = [{k: r[k] for k in keys} for r in totals]
     replace_units(dq.clean(flagged), clean_path, units, keys, fmt)
     replace_units(dq.rejected(flagged), rej_path, units, keys, fmt)
-    schema = ", ".join([f"{k} {raw.schema[k].dataType.simpleString()}" for k in keys] + ["rows bigint", "rejected bigint"])
+    schema = ", ".join([f"{k} {raw.schema[k].dataType.simpleString()}" for k in keys] + ["rows bigint"])
     per = spark.createDataFrame([tuple(r) for r in totals], schema)
-    # a table without any clean row is empty, not missing
-    stored = read_table(spark, clean_path, fmt, raw.schema, keys).select(*keys)
-    clean = of_units(stored, per, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("clean"))
-    n, rejected, kept = F.col("rows"), F.col("rejected"), F.coalesce(F.col("clean"), F.lit(0))
+    keep = _folders(units)
+    # a table without any row is empty, not missing
+    stored = [read_table(spark, path, fmt, raw.schema, keys, keep).select(*keys, F.lit(int(path == clean_path)).alias("_clean"))
+              for path in (clean_path, rej_path)]
+    found = of_units(stored[0].unionAll(stored[1]), per, keys).groupBy(*keys).agg(
+        F.sum("_clean").alias("clean"), F.sum(1 - F.col("_clean")).alias("rejected"))
+    n, rejected, kept = F.col("rows"), F.coalesce(F.col("rejected"), F.lit(0)).cast("bigint"), F.coalesce(F.col("clean"), F.lit(0))
     same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
-    metrics = per.alias("p").join(clean.alias("c"), reduce(and_, same), "left").select(
+    metrics = per.alias("p").join(found.alias("c"), reduce(and_, same), "left").select(
         *[F.col(f"p.{k}") for k in keys], n.alias("total_rows"), kept.cast("bigint").alias("clean_rows"), rejected.alias("rejected_rows"),
         (n - rejected - kept).cast("bigint").alias("dupes_removed"),
         pct(rejected, F.greatest(n, F.lit(1))).alias("rejection_pct"))

@@ -31,9 +31,11 @@ def silver_stream(spark: SparkSession, bronze_root: str, out_root: str, fmt: str
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/silver-stream"
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        months = df.select(*KEYS).distinct()
-        # the batch's months, a handful; a file without year or month is the NULL month's
-        raw = read_flights(df.sparkSession, bronze_root, fmt, null_value=null_value, keep=of_months(tuple(r) for r in months.collect()))
+        # the batch's months, a handful, are looked up once; a file without year or month is the NULL month's
+        found = df.select(*KEYS).distinct()
+        units = [tuple(r) for r in found.collect()]
+        months = df.sparkSession.createDataFrame(units, found.schema)
+        raw = read_flights(df.sparkSession, bronze_root, fmt, null_value=null_value, keep=of_months(units))
         run_silver(df.sparkSession, of_units(raw, months, KEYS), out_root, fmt=fmt, rules=rules, keys=KEYS)
 
     return (news.select(*KEYS).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)

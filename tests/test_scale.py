@@ -5,15 +5,17 @@ from __future__ import annotations
 import os
 import zipfile
 
+import pytest
 from conftest import SF001, canon
 from pyspark.sql import functions as F
 
 from runway.operators import dq
-from runway.plans import sinks
+from runway.plans import silver, sinks
 from runway.session import JOB_CONF
 from runway.sources import fixtures as fx
 from runway.sources import landing, scans
 from runway.sources.schema import conform
+from runway.streaming import silver_stream as stream
 
 
 def test_large_tables_are_dealt_over_more_tasks(spark):
@@ -85,3 +87,37 @@ def test_flight_archives_hold_texts_that_need_quotes(spark, make_flights, tmp_pa
     fx.write_flight_archives(rows, str(tmp_path))
     back = landing.read_landing(spark, str(tmp_path))
     assert canon(back.collect()) == canon(rows.withColumn("destcityname", F.nullif("destcityname", F.lit(""))).select(back.columns).collect())
+
+
+class Reached(Exception):
+    pass
+
+
+def test_rows_are_counted_before_any_rule_is_evaluated(spark, make_flights, monkeypatch, tmp_dir):
+    def reached(df, path, units, *_):
+        raise Reached(units)
+
+    rule = dq.Rule("DQ99", "DQ99: fails", F.raise_error(F.col("origin")).cast("boolean"), "Major")
+    monkeypatch.setattr(silver, "replace_units", reached)
+    with pytest.raises(Reached) as e:
+        silver.run_silver(spark, make_flights([{"month": 4}, {"month": 5}]), tmp_dir, rules=[rule])
+    assert sorted(u["month"] for u in e.value.args[0]) == [4, 5]
+
+
+def test_counts_of_a_run_leave_other_months_out(spark, make_flights, tmp_dir):
+    first = make_flights([{"month": 4}, {"month": 4}, {"month": 5, "distance": None}, {"month": None}, {"year": None, "month": 5}])
+    silver.run_silver(spark, first, tmp_dir)
+    res = silver.run_silver(spark, make_flights([{"month": 5}, {"month": 5, "distance": None}, {"month": 6, "distance": None}]), tmp_dir)
+    got = {r["month"]: (r["total_rows"], r["clean_rows"], r["rejected_rows"], r["dupes_removed"]) for r in res.metrics.collect()}
+    assert got == {5: (2, 1, 1, 0), 6: (1, 0, 1, 0)}
+    every = spark.read.parquet(f"{tmp_dir}/_metrics")
+    assert {(r["year"], r["month"]): r["total_rows"] for r in every.collect()} == {
+        (2024, 4): 2, (2024, 5): 2, (2024, 6): 1, (2024, None): 1, (None, 5): 1}
+
+
+def test_stream_looks_its_months_up_once(spark, make_flights, monkeypatch, tmp_dir):
+    plans = []
+    monkeypatch.setattr(stream, "run_silver", lambda s, raw, *_, **__: plans.append(raw._jdf.queryExecution().optimizedPlan().toString()))
+    make_flights([{"month": 4}, {"month": None}]).write.partitionBy("year", "month").parquet(f"{tmp_dir}/bronze")
+    stream.silver_stream(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", checkpoint=f"{tmp_dir}/c").awaitTermination()
+    assert len(plans) == 1 and "Aggregate" not in plans[0]  # no distinct over the batch's files again
