@@ -269,7 +269,8 @@ def gold_year_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year outcomes of a run whose window starts two years before the input."""
     silver, control = _folder(spark, "years-silver"), _folder(spark, "years-control")
     run_silver(spark, _dated(fx.flights(spark, sf_dir)), silver)
-    first = fx.silver(spark, sf_dir).agg(F.min("year")).first()[0]
+    # the folder names of the Silver set just written tell its first year
+    first = read_table(spark, f"{silver}/cleaned", partition_cols=KEYS).agg(F.min("year")).first()[0]
     res = gold_increment(spark, silver, _folder(spark, "years-gold"), control, baseline_year=int(first) - 2)
     return res["outcomes"].select("year", "latest_month", "outcome")
 

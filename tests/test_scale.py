@@ -10,7 +10,7 @@ from conftest import SF001, canon
 from pyspark.sql import functions as F
 
 from runway.operators import dq
-from runway.plans import silver, sinks
+from runway.plans import scenarios, silver, sinks
 from runway.session import JOB_CONF
 from runway.sources import fixtures as fx
 from runway.sources import landing, scans
@@ -121,3 +121,15 @@ def test_stream_looks_its_months_up_once(spark, make_flights, monkeypatch, tmp_d
     make_flights([{"month": 4}, {"month": None}]).write.partitionBy("year", "month").parquet(f"{tmp_dir}/bronze")
     stream.silver_stream(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", checkpoint=f"{tmp_dir}/c").awaitTermination()
     assert len(plans) == 1 and "Aggregate" not in plans[0]  # no distinct over the batch's files again
+
+
+def test_year_outcomes_do_not_build_silver_twice(spark, monkeypatch):
+    def again(*_):
+        raise Reached
+
+    monkeypatch.setattr(fx, "silver", again)
+    monkeypatch.setattr(scenarios, "gold_increment", lambda s, path, *_, baseline_year: {
+        "outcomes": scans.read_table(s, f"{path}/cleaned", partition_cols=silver.KEYS).select(
+            "year", F.lit(baseline_year).alias("latest_month"), F.lit("x").alias("outcome"))})
+    rows = scenarios.gold_year_outcomes(spark, SF001).distinct().collect()
+    assert {r["latest_month"] for r in rows} == {min(r["year"] for r in rows) - 2}
