@@ -209,8 +209,11 @@ def load(spark: SparkSession, layout: Layout, declared: T.StructType | None = No
             df = (spark.read.schema(T.StructType(shown.fields + of.fields)).option("header", True).option("enforceSchema", True)
                   .option("mode", "PERMISSIVE").option("nullValue", null_value).option("emptyValue", _QUOTED_EMPTY)
                   .option("basePath", base).csv(paths))
+            # only texts tell it from NULL: as a number or date both are NULL
+            fixed = {f.name.lower(): f.dataType for f in declared.fields} if declared else {}
             df = df.withColumns({f.name: F.when(F.col(f.name) != _QUOTED_EMPTY, F.col(f.name)).when(
-                F.col(f.name).isNotNull(), F.lit("")) for f in shown.fields}).drop(*[f"_in_{c}" for c in own])
+                F.col(f.name).isNotNull(), F.lit("")) for f in shown.fields
+                if isinstance(fixed.get(f.name.lower(), T.StringType()), T.StringType)}).drop(*[f"_in_{c}" for c in own])
         else:
             data = T.StructType([f for f in schemas[text].fields if f.name.lower() not in own])
             df = spark.read.schema(T.StructType(data.fields + of.fields)).option("basePath", base).parquet(*paths)

@@ -14,7 +14,7 @@ from runway.plans import scenarios, silver, sinks
 from runway.session import JOB_CONF
 from runway.sources import fixtures as fx
 from runway.sources import landing, scans
-from runway.sources.schema import conform
+from runway.sources.schema import FLIGHTS_COLUMNS, conform
 from runway.streaming import silver_stream as stream
 
 
@@ -133,3 +133,14 @@ def test_year_outcomes_do_not_build_silver_twice(spark, monkeypatch):
             "year", F.lit(baseline_year).alias("latest_month"), F.lit("x").alias("outcome"))})
     rows = scenarios.gold_year_outcomes(spark, SF001).distinct().collect()
     assert {r["latest_month"] for r in rows} == {min(r["year"] for r in rows) - 2}
+
+
+def test_only_texts_of_a_csv_tell_a_quoted_empty_field(spark, tmp_path):
+    folder = tmp_path / "year=2024" / "month=4"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text('origin,dest,distance,deptime,flightdate,note\n"",,"","","",""\nA,B,1.5,7,2024-04-01,n\n')
+    df = scans.read_flights(spark, str(tmp_path), "csv")
+    got = canon(df.select("origin", "dest", "distance", "deptime", F.col("flightdate").cast("string"), "note").collect())
+    assert got == canon([("", None, None, None, None, ""), ("A", "B", 1.5, 7, "2024-04-01", "n")])
+    plan = df.select(*FLIGHTS_COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") == 2  # origin and dest
