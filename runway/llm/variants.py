@@ -10,6 +10,9 @@
 3. A block of many words is dealt over a grid of tiles.
 4. A word's form is its most frequent near word, if that is ``RATIO`` times as
    frequent or more. Following forms doubles the reach each round.
+
+All joins shuffle: every table grows with the vocabulary, whose file is a few bytes a
+word, and Spark sizes what is made of it (six rows a word, maps over batches) by it.
 """
 
 from __future__ import annotations
@@ -216,7 +219,7 @@ def near_words(words: DataFrame) -> DataFrame:
     sizes = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.count_if(F.col("longer") == 0).alias("own"))
     # a block without two words, or without one of its own length, has no pair
     some = sizes.where("members > 1 AND own > 0").select("block", F.ceil(F.col("members") / TILE).cast("int").alias("lines"))
-    placed = keyed.join(some, "block").withColumn("line", F.pmod(F.xxhash64("word"), F.col("lines")).cast("int"))
+    placed = keyed.join(some.hint("merge"), "block").withColumn("line", F.pmod(F.xxhash64("word"), F.col("lines")).cast("int"))
     tiles = placed.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("lines") - 1))).select(
         "block", F.least("line", "to").alias("i"), F.greatest("line", "to").alias("j"), "line", "longer", "word", "n")
     return _near(tiles)
@@ -231,7 +234,7 @@ def roots(forms: DataFrame) -> DataFrame:
     jump = stage(forms.select("word", F.col("form").alias("root")), "jumps")
     while True:
         up = jump.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        there = jump.join(up, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved"))
+        there = jump.join(up.hint("merge"), "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved"))
         there = stage(there, "jumps")
         if there.where("_moved").isEmpty():
             return there.select("word", "root")
@@ -254,8 +257,8 @@ def group(docs: DataFrame, ratio: int = RATIO) -> DataFrame:
     words = stage(vocabulary(docs), "vocabulary")
     best = near_words(words).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("n"), "other")).alias("best"))
-    joined = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+    joined = words.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
                                                      F.when(-F.col("best.n") >= ratio * F.col("n"), F.col("best")).alias("best"))
     joined = stage(joined.select("word", "n", "n_near", F.col("best.other").alias("form"), (-F.col("best.n")).alias("form_n")), "forms")
     ends = roots(joined.where("form IS NOT NULL"))
-    return joined.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return joined.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -83,6 +83,15 @@ def test_tiles_and_gathering_change_nothing(spark, monkeypatch):
     assert rows_of(variants.group(docs(spark, texts))) == plain(list(enumerate(texts)))
 
 
+def test_no_table_is_broadcast(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(variants, "stage", lambda df, *a, old=variants.stage: plans.append(df) or old(df, *a))
+    got = variants.group(docs(spark, corpus(3, words=20, texts=60)))
+    assert rows_of(got) == plain(list(enumerate(corpus(3, words=20, texts=60))))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, got]]  # the last one as it was run
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_one_edit():
     for u, v, near in [("house", "house", False), ("house", "houses", True), ("house", "hose", True), ("house", "mouse", True),
                        ("abcde", "abced", False), ("aabbb", "abbb", True), ("abcde", "abcdefg", False), ("abcde", "xbcdex", False), ("aaaaa", "aaaaaa", True)]:
