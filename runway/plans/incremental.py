@@ -13,9 +13,10 @@ A Silver increment for one dataset key:
    (months without output: retry, or escalated when a CODE marker blocks);
 2. CODE-blocked units are ``failed`` without an attempt (unless reprocessing),
    units already done are ``skipped`` (incremental only);
-3. the remaining units run as *one* Silver job: the raw layout is semi-joined
-   with the unit list on (year, month), so only those partitions are read
-   (dynamic partition pruning) and every month is processed in parallel;
+3. the remaining units run as Silver jobs over many months each, ``BATCH_BYTES`` of
+   input a core: the raw layout is filtered by the unit list on (year, month), so
+   only those partitions are read, every month of a job is processed in parallel,
+   and the disk holds the shuffles of one job, however many months there are;
 4. outcomes (success / missing / failed / skipped) are appended to the attempt
    log, the mark moves to the contiguous high-water mark (incremental only),
    and a status row is produced per key.
@@ -41,11 +42,13 @@ from runway.operators import dq
 from runway.operators import state as st
 from runway.plans.gold import recompute_trend, run_gold
 from runway.plans.silver import run_silver
-from runway.plans.sinks import stored_units
+from runway.plans.sinks import batches, stored_bytes, stored_units, unit_folder
 from runway.sources.scans import of_months, read_flights, readable_flights
 
 log = logging.getLogger(__name__)
 
+BATCH_BYTES = 32 << 20  # stored input a core that one Silver job takes; of gzipped CSV, its shuffles are some eight times as large
+
 MARKS_SCHEMA = "layer string, key string, watermark date"
 METRICS_SCHEMA = ("total_rows bigint, clean_rows bigint, rejected_rows bigint, dupes_removed bigint,"
                   " rejection_pct double, year int, month int")
@@ -113,8 +116,10 @@ def silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, co
     base = _month(baseline)
     ym = S.first_of_month()
     # the folder names tell the latest month; no file is opened for it
-    months = [(int(u["year"]), int(u["month"])) for u in stored_units(spark, bronze_root)
-              if u["year"].isdigit() and u["month"].isdigit() and 1 <= int(u["month"]) <= 12]
+    months: dict[tuple, list[str]] = {}
+    for u in stored_units(spark, bronze_root):
+        if u["year"].isdigit() and u["month"].isdigit() and 1 <= int(u["month"]) <= 12:
+            months.setdefault((int(u["year"]), int(u["month"])), []).append(unit_folder(bronze_root, u))
     ceiling = F.lit(dt.date(*max(months), 1) if months else None).cast("date")
     marks = read_marks(spark, control_root, "silver", key, (base - dt.timedelta(days=1)).replace(day=1))
     metrics = _read_or_empty(spark, f"{silver_root}/_metrics", METRICS_SCHEMA)
@@ -146,10 +151,13 @@ def silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, co
     produced: list[dict] = []
 
     def silver(units: list) -> None:
-        """One job for all units."""
+        """One job for the units."""
         produced.extend(run_silver(spark, bronze.where(_in_months(units)), silver_root).units)
 
-    broken = isolate(silver, [u for u in to_run if u not in unreadable]) | unreadable
+    sizes = {u: sum(stored_bytes(spark, f) for f in months.get(u, ())) for u in sorted(to_run) if u not in unreadable}
+    broken = set(unreadable)
+    for some in batches(sizes, BATCH_BYTES * spark.sparkContext.defaultParallelism):
+        broken |= isolate(silver, some)
     done_now = {(u["year"], u["month"]) for u in produced}
     results = [(dt.date(y, m, 1), st.FAILED if (y, m) in broken else st.SUCCESS if (y, m) in done_now else st.MISSING)
                for y, m in to_run]

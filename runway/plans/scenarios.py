@@ -14,7 +14,7 @@ from runway.operators import dq, gold, rollup, state
 from runway.plans.gold import build_states, extend_trend, recompute_trend, refresh_months, rolled_up_kpi, run_gold
 from runway.plans.incremental import gold_increment, silver_increment
 from runway.plans.silver import KEYS, run_silver
-from runway.plans.sinks import prepare, replace_units, settle, stored_units, write_partitioned, write_text
+from runway.plans.sinks import batches, prepare, replace_units, settle, stored_units, write_partitioned, write_text
 from runway.session import checkpoint_dir
 from runway.sources import fixtures as fx
 from runway.sources.landing import landing_outcomes, read_landing
@@ -23,6 +23,7 @@ from runway.sources.schema import FLIGHTS_COLUMNS, FLIGHTS_SCHEMA, GUARDED_COLUM
 from runway.streaming.silver_stream import silver_stream
 
 YEAR = 1998  # the year that scenarios build anew (a parameter)
+BATCH_ROWS = 2_500_000  # flights a core that one write of a large layout shuffles, some 85 bytes each
 
 
 def own_rules() -> list[dq.Rule]:
@@ -44,6 +45,15 @@ def _per_month(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
+def _write_csv(raw: DataFrame, rows: dict, path: str) -> None:
+    """Flights of some months, of which ``rows`` has the numbers, as gzipped CSV partitions:
+    consecutive months at a time, so that the disk holds the shuffle of these alone."""
+    at = F.col("year") * 12 + F.col("month")
+    for some in batches(dict(sorted(rows.items())), BATCH_ROWS * raw.sparkSession.sparkContext.defaultParallelism):
+        (y, m), (to_y, to_m) = some[0], some[-1]
+        write_partitioned(raw.where(at.between(y * 12 + m, to_y * 12 + to_m)), path, fmt="csv", compression="gzip")
+
+
 def custom_rules(raw: DataFrame) -> DataFrame:
     return dq.breakdown(raw, own_rules())
 
@@ -148,10 +158,11 @@ def increment_broken_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive and others of which order their columns differently."""
     bronze, silver, control = (_folder(spark, f"broken-{x}") for x in ("bronze", "silver", "control"))
     raw = _dated(fx.flights(spark, sf_dir)).where("month <= 12")
-    write_partitioned(raw.where("month > 2"), bronze, fmt="csv")
-    write_partitioned(raw.where("month <= 2").select(*reversed(FLIGHTS_COLUMNS)), bronze, fmt="csv")
+    rows = {(r["year"], r["month"]): r["n"] for r in _per_month(raw).collect()}  # one row a month
+    _write_csv(raw.where("month > 2"), {u: n for u, n in rows.items() if u[1] > 2}, bronze)
+    _write_csv(raw.where("month <= 2").select(*reversed(FLIGHTS_COLUMNS)), {u: n for u, n in rows.items() if u[1] <= 2}, bronze)
     write_text(spark, f"{bronze}/year={YEAR}/month=3/part-9.csv.gz", "no gzip stream")
-    first = raw.agg(F.min(S.first_of_month())).first()[0]
+    first = dt.date(*min(u for u in rows if u[1] >= 1), 1)
     res = silver_increment(spark, bronze, silver, control, baseline=first.strftime("%Y-%m"), fmt="csv")
     clean = read_table(spark, f"{silver}/cleaned", schema=FLIGHTS_SCHEMA, partition_cols=KEYS)
     n = clean.groupBy(S.first_of_month().alias("month")).agg(F.count(F.lit(1)).alias("n"))

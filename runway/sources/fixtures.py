@@ -164,11 +164,14 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     split, nothing is recomputed). The fixture copy is written flat; the
     ``year=/month=`` layout the scans exercise is ``bronze_root``.
     """
+    from runway.plans.sinks import dropped_shuffles
+
     root = _scratch(spark, sf_dir, "bronze_flat")
     k = (spark.sparkContext.applicationId, f"bronze_flat:{sf_dir}")
     if k not in _CACHE:
         if not _exists(spark, f"{root}/_SUCCESS"):
-            derive_flights(spread(table(spark, sf_dir, "lineitem"))).write.mode("overwrite").parquet(root)
+            with dropped_shuffles(spark):
+                derive_flights(spread(table(spark, sf_dir, "lineitem"))).write.mode("overwrite").parquet(root)
         _CACHE[k] = root
     return spark.read.parquet(_CACHE[k])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import zipfile
 
 import pytest
@@ -10,7 +11,7 @@ from conftest import SF001, canon
 from pyspark.sql import functions as F
 
 from runway.operators import dq
-from runway.plans import scenarios, silver, sinks
+from runway.plans import incremental, scenarios, silver, sinks
 from runway.session import JOB_CONF
 from runway.sources import fixtures as fx
 from runway.sources import landing, scans
@@ -144,3 +145,42 @@ def test_only_texts_of_a_csv_tell_a_quoted_empty_field(spark, tmp_path):
     assert got == canon([("", None, None, None, None, ""), ("A", "B", 1.5, 7, "2024-04-01", "n")])
     plan = df.select(*FLIGHTS_COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("CASE WHEN") == 2  # origin and dest
+
+
+def test_units_come_in_batches():
+    assert sinks.batches({}, 5) == []
+    assert sinks.batches({"a": 2, "b": 3, "c": 1, "d": 9, "e": 0, "f": 5}, 5) == [["a", "b"], ["c"], ["d"], ["e", "f"]]
+
+
+def _shuffle_files(spark) -> set[str]:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in folders for _, _, names in os.walk(str(top)) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_dir):
+    df = spark.range(1000).selectExpr("id % 3 AS year", "id % 12 AS month", "id")
+    before = _shuffle_files(spark)
+    held = df.repartition(3, "id").groupBy("month").count()
+    held.collect()
+    assert _shuffle_files(spark) - before  # those of a query that may be run again stay
+    before |= _shuffle_files(spark)
+    sinks.write_partitioned(df, f"{tmp_dir}/t")
+    until = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < until:  # they go shortly after
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert held.count() == 12 and spark.read.parquet(f"{tmp_dir}/t").count() == 1000
+    assert spark.conf.get(sinks.CLEANUP, "false") == "false"
+
+
+def test_an_increment_of_many_months_runs_in_parts(spark, monkeypatch):
+    want = canon(scenarios.increment_broken_file(spark, SF001).collect())
+    runs, writes = [], []
+    monkeypatch.setattr(scenarios, "BATCH_ROWS", 200)
+    monkeypatch.setattr(incremental, "BATCH_BYTES", 8192)
+    monkeypatch.setattr(incremental, "run_silver", lambda *a, old=silver.run_silver: runs.append(1) or old(*a))
+    monkeypatch.setattr(scenarios, "write_partitioned", lambda df, path, old=sinks.write_partitioned, **k: writes.append(path) or old(df, path, **k))
+    assert canon(scenarios.increment_broken_file(spark, SF001).collect()) == want
+    assert len(runs) > 1 and len(writes) > 2
+    files = [f for _, _, names in os.walk(writes[0].removeprefix("file:")) for f in names if ".csv" in f and f.startswith("part-")]
+    assert len(files) > 12 and all(f.endswith(".csv.gz") for f in files)
