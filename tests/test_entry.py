@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-TABLES = ["lineitem", "events", "pages"]
+TABLES = ["lineitem", "events", "pages", "nation", "customer"]
 
 
 def test_entry_smoke(spark):
